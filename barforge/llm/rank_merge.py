@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -146,7 +147,7 @@ def count(docs: DataFrame, model: str, limit: int, id_col: str = "doc_id", text_
         for batch in slices(batches):
             texts = batch.column("text")
             n = pa.array(own.count(texts.to_pylist()), pa.int64())
-            size = pa.compute.binary_length(texts).cast(pa.int64())
+            size = pc.binary_length(texts).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), size, n], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = id_text(docs, id_col, text_col)
