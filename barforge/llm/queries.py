@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import pieces, rank_merge
+from barforge.llm import binpack, idfile, pieces, rank_merge, scratch
 from barforge.llm.sources import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -28,12 +30,26 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch.shared_dir(spark)}/ids-{uuid.uuid4().hex}"
+    scratch.keep(spark, path)
+    idfile.write(read(spark, sf_dir, "documents"), tokenizer_path(BYTE_MODEL), path, end_id=0)
+    return idfile.documents(spark, path)
+
+
+def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces_of = binpack.token_pieces(read(spark, sf_dir, "documents"), tokenizer_path(BYTE_MODEL), end_id=2, tokens=1024)
+    return binpack.pack(pieces_of, binpack.Capacity(tokens=1024))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_merge.count(read(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL), limit=4096)
 
 
 QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_token_files": op4_token_files,
+    "op7_best_fit": op7_best_fit,
     "op9_token_counts": op9_token_counts,
 }
 ORACLES: dict[str, str] = {}

@@ -29,11 +29,16 @@ def table(df: DataFrame, name: str) -> DataFrame:
 def write(df: DataFrame, name: str) -> str:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    keep(spark, path)
     df.write.parquet(path)
-    _written.append((spark, path))
     return path
 
 
+def keep(spark: SparkSession, path: str) -> None:
+    """``path`` stays for as long as this program runs."""
+    _written.append((spark, path))
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
