@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import binpack, idfile, pieces, rank_merge, scratch
+from barforge.llm import binpack, idfile, oracles, pieces, rank_merge, rules, scratch
 from barforge.llm.sources import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -37,6 +37,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfile.documents(spark, path)
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.col("__m")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return judged.select("doc_id", *counts, F.col("__base_failed").alias("base_failed"), (F.size("__failed") == 0).alias("kept"))
+
+
 def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces_of = binpack.token_pieces(read(spark, sf_dir, "documents"), tokenizer_path(BYTE_MODEL), end_id=2, tokens=1024)
     return binpack.pack(pieces_of, binpack.Capacity(tokens=1024))
@@ -49,7 +55,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_token_files": op4_token_files,
+    "op6_quality_rules": op6_quality_rules,
     "op7_best_fit": op7_best_fit,
     "op9_token_counts": op9_token_counts,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op6_quality_rules": oracles.OP6,
+}
