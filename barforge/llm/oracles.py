@@ -33,6 +33,7 @@ WITH d AS (
          (length(text) - length(regexp_replace(text, '\p{{Lu}}+', '', 'g')))::BIGINT AS n_capitals,
          len(regexp_extract_all(text, '!!'))::BIGINT AS n_shouts,
          len(list_filter(words, lambda w: w IN ({_STOP})))::BIGINT AS n_stop_words,
+         len(list_filter(words, lambda w, i: i > 1 AND w = words[i - 1]))::BIGINT AS n_stutters,
          len(list_filter(lines, lambda x: x LIKE '%...' OR x LIKE '%…'))::BIGINT AS n_ellipsis_lines,
          len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\t]*[-*•]')))::BIGINT AS n_bullet_lines
   FROM d LEFT JOIN reps ON reps.doc_id = d.doc_id
@@ -48,7 +49,46 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND (n_letters < 50 OR 100 * n_capitals <= 50 * n_letters)
        AND 100 * n_shouts <= 20 * n_words
        AND (n_words < 50 OR 100 * n_stop_words >= 2 * n_words)
+       AND (n_words < 20 OR 100 * n_stutters <= 25 * n_words)
        AND (n_lines < 5 OR 100 * n_ellipsis_lines <= 40 * n_lines)
        AND (n_lines < 5 OR 100 * n_bullet_lines <= 90 * n_lines) AS kept
 FROM v
 """
+
+_KINDS = (
+    ("assign", r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 1, 8),
+    ("access", r"AKIA[A-Z0-9]+", 0, 16),
+    ("hex", r"[0-9a-f]+", 0, 32),
+    ("private", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("forge", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    ("chat", r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
+    ("cloud", r"AIza[0-9A-Za-z_-]+", 0, 39),
+    ("signed", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 32),
+    ("login", r"://[^/\x00-\x20:@]+:[^/\x00-\x20:@]+@", 0, 8),
+)
+
+
+def _kind(number: int, name: str, pattern: str, group: int, least: int) -> str:
+    quoted = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {number} AS k, '{name}' AS kind, b AS s, b + len(m[i]) AS e, len(v[i]) AS size FROM (
+    SELECT doc_id, m, v, i, list_sum(list_transform(g[1:i], lambda x: len(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: len(x))), 0) AS b FROM (
+      SELECT doc_id, m, v, g, unnest(range(1, len(m) + 1)) AS i FROM (
+        SELECT doc_id, regexp_extract_all(text, '{quoted}') AS m, regexp_extract_all(text, '{quoted}', {group}) AS v,
+               regexp_split_to_array(text, '{quoted}') AS g FROM d WHERE regexp_matches(text, '{quoted}'))))
+  WHERE len(v[i]) >= {least}"""
+
+
+OP10 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({" UNION ALL ".join(_kind(n, *x) for n, x in enumerate(_KINDS))}),
+a AS (
+  SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+         string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, k) FILTER (k < 3) AS base,
+         string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, k) AS spans
+  FROM f GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a ON a.doc_id = d.doc_id
+"""

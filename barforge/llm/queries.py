@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import binpack, idfile, oracles, pieces, rank_merge, rules, scratch
+from barforge.llm import binpack, idfile, oracles, pieces, rank_merge, rules, scratch, secrets
 from barforge.llm.sources import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -52,13 +52,23 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_merge.count(read(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL), limit=4096)
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("__spans", lambda s: s["kind"] < len(secrets.BASE))
+    of_kind = lambda k: F.filter("__spans", lambda s: s["kind"] == k)
+    counts = [F.size(of_kind(k)).cast("long").alias(f"n_{r.kind}") for k, r in enumerate(secrets.BASE)]
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(base, secrets.RULES), 256).alias("base_sha256"), secrets.listed(F.col("__spans"), secrets.RULES).alias("spans"))
+
+
 QUERIES = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_token_files": op4_token_files,
     "op6_quality_rules": op6_quality_rules,
     "op7_best_fit": op7_best_fit,
     "op9_token_counts": op9_token_counts,
+    "op10_secret_scan": op10_secret_scan,
 }
 ORACLES = {
     "op6_quality_rules": oracles.OP6,
+    "op10_secret_scan": oracles.OP10,
 }

@@ -68,6 +68,7 @@ TABLE = (
     Rule("capitals", "n_capitals", "n_letters", most=50, from_=50),
     Rule("shouts", "n_shouts", "n_words", most=20),
     Rule("stop_words", "n_stop_words", "n_words", least=2, from_=50),
+    Rule("stutters", "n_stutters", "n_words", most=25, from_=20),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", most=40, from_=5),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", most=90, from_=5),
 )
@@ -119,6 +120,7 @@ def metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "n_capitals": _removed(text, "\\p{Lu}+"),
         "n_shouts": F.regexp_count(text, F.lit("!!")),
         "n_stop_words": _size(F.filter(words, lambda v: v.isin(stop))),
+        "n_stutters": _size(F.filter(hashes, lambda h, i: F.coalesce(h == F.get(hashes, i - 1), F.lit(False)))),
         "n_ellipsis_lines": _size(F.filter(lines, lambda x: x.endswith("...") | x.endswith("…"))),
         "n_bullet_lines": _size(F.filter(lines, lambda x: x.rlike("^[\\x20\\t]*[-*•]"))),
     }
