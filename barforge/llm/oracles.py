@@ -92,3 +92,26 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM d LEFT JOIN a ON a.doc_id = d.doc_id
 """
+
+OP1 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) WHEN len(w) = 1 THEN w ELSE [] END) AS g FROM d)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+k AS (SELECT doc_id, g, hash(g) AS h FROM s),
+met AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM k a JOIN k b ON a.h = b.h AND a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), link AS (
+  SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+), sym AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d
+  UNION
+  SELECT r.a, s.b FROM reach r JOIN sym s ON s.a = r.b
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) m ON m.a = d.doc_id
+"""

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import binpack, idfile, oracles, pieces, rank_merge, rules, scratch, secrets
+from barforge.llm import binpack, idfile, minhash, oracles, pieces, rank_merge, rules, scratch, secrets
 from barforge.llm.sources import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -20,6 +20,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), size=2, threshold=80)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_path(PIECE_MODEL)
     return pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), model), model).select(
@@ -61,6 +65,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_token_files": op4_token_files,
     "op6_quality_rules": op6_quality_rules,
@@ -69,6 +74,7 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLES = {
+    "op1_minhash_dedup": oracles.OP1,
     "op6_quality_rules": oracles.OP6,
     "op10_secret_scan": oracles.OP10,
 }
