@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import binpack, idfile, minhash, oracles, pieces, rank_merge, rules, scratch, secrets
+from barforge.llm import binpack, idfile, knn, minhash, oracles, pieces, rank_merge, rules, scratch, secrets
 from barforge.llm.sources import read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -52,6 +52,21 @@ def op7_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binpack.pack(pieces_of, binpack.Capacity(tokens=1024))
 
 
+def learnt_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality labels outside the held-out quarter."""
+    return read(spark, sf_dir, "labels").where(~held_out()).select("doc_id", F.col("quality").alias("label"))
+
+
+def held_out() -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
+
+
+def op8_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scored = knn.score(docs, knn.fit(docs, learnt_labels(spark, sf_dir)))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_merge.count(read(spark, sf_dir, "documents"), tokenizer_path(PIECE_MODEL), limit=4096)
 
@@ -70,6 +85,7 @@ QUERIES = {
     "op4_token_files": op4_token_files,
     "op6_quality_rules": op6_quality_rules,
     "op7_best_fit": op7_best_fit,
+    "op8_quality_votes": op8_quality_votes,
     "op9_token_counts": op9_token_counts,
     "op10_secret_scan": op10_secret_scan,
 }

@@ -25,7 +25,7 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in runs of about ``most`` bytes of ``column``."""
     for batch in batches:
-        lengths = pc.binary_length(batch.column(column)).to_pylist()
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = held = 0
         for i, n in enumerate(lengths):
             if held and held + n > most:
