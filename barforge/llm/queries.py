@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import binpack, idfile, knn, minhash, oracles, pieces, rank_merge, rules, scratch, secrets
-from barforge.llm.sources import read
+from barforge.llm import binpack, digest, idfile, knn, minhash, oracles, pieces, rank_merge, rules, scratch, secrets
+from barforge.llm.sources import id_text, read
 
 PIECE_MODEL = "piece_bpe_32k.model"
 BYTE_MODEL = "byte_bpe_50k.json"
@@ -24,6 +24,11 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), size=2, threshold=80)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return digest.edits(docs, digest.Ranks.by_rarity(digest.histogram(id_text(docs))))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_path(PIECE_MODEL)
     return pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), model), model).select(
@@ -81,6 +86,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_fingerprints": op2_fingerprints,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_token_files": op4_token_files,
     "op6_quality_rules": op6_quality_rules,
