@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barforge.llm import binpack, digest, idfile, knn, minhash, oracles, pieces, rank_merge, rules, scratch, secrets
+from barforge.llm import binpack, digest, idfile, knn, langid, minhash, oracles, pieces, rank_merge, rules, scratch, secrets
 from barforge.llm.sources import id_text, read
 
 PIECE_MODEL = "piece_bpe_32k.model"
@@ -46,6 +46,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfile.documents(spark, path)
 
 
+def op5_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "pages"), langid.train(read(spark, sf_dir, "documents")))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(read(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [F.col("__m")[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
@@ -89,6 +93,7 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_token_files": op4_token_files,
+    "op5_page_language": op5_page_language,
     "op6_quality_rules": op6_quality_rules,
     "op7_best_fit": op7_best_fit,
     "op8_quality_votes": op8_quality_votes,
