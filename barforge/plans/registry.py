@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from barforge.plans import tapes
+
+QUERIES: dict = {**tapes.QUERIES}
+ORACLES: dict = {**tapes.ORACLES}
