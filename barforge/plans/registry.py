@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barforge.plans import tapes
+from barforge.plans import evaluation, features, tapes
 
-QUERIES: dict = {**tapes.QUERIES}
-ORACLES: dict = {**tapes.ORACLES}
+QUERIES: dict = {**tapes.QUERIES, **features.QUERIES, **evaluation.QUERIES}
+ORACLES: dict = {**tapes.ORACLES, **features.ORACLES, **evaluation.ORACLES}
