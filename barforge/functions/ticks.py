@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-BY_SYMBOL = Window.partitionBy("symbol").orderBy("seq")
+
+def by_symbol() -> WindowSpec:
+    return Window.partitionBy("symbol").orderBy("seq")
 
 
 def with_side(trades: DataFrame, compat: bool = True) -> DataFrame:
@@ -13,10 +15,10 @@ def with_side(trades: DataFrame, compat: bool = True) -> DataFrame:
 
     ``compat`` gives 1 for a fall, the sign that existing bars were made with; otherwise 1 is a rise.
     """
-    before, now = F.lag("price").over(BY_SYMBOL), F.col("price")
+    before, now = F.lag("price").over(by_symbol()), F.col("price")
     fell, rose = (1, -1) if compat else (-1, 1)
     move = F.when(before > now, fell).when(before < now, rose)
-    carried = F.last("__move", ignorenulls=True).over(BY_SYMBOL.rowsBetween(Window.unboundedPreceding, 0))
+    carried = F.last("__move", ignorenulls=True).over(by_symbol().rowsBetween(Window.unboundedPreceding, 0))
     return trades.withColumn("__move", move).withColumn("side", F.coalesce(carried, F.lit(1)).cast("byte")).drop("__move")
 
 

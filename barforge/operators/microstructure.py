@@ -13,17 +13,20 @@ from pyspark.sql import functions as F
 SPREAD_WINDOWS = tuple(range(10, 200, 10))
 WINDOWS = tuple(range(50, 451, 50))
 EPS = 1e-10
-_ORDER = Window.partitionBy("symbol").orderBy("idx")
 SPREAD_SCALE = 2 * (sqrt(2) - 1)
 
 
+def _order() -> WindowSpec:
+    return Window.partitionBy("symbol").orderBy("idx")
+
+
 def frame(n: int, last: int = 0) -> WindowSpec:
-    return _ORDER.rowsBetween(-(n - 1), last)
+    return _order().rowsBetween(-(n - 1), last)
 
 
 def prepared(bars: DataFrame) -> DataFrame:
     """Helper columns: sell volume, return on the current close, log range, spread of a pair of bars."""
-    before = {c: F.lag(c).over(_ORDER) for c in ("high", "low", "close")}
+    before = {c: F.lag(c).over(_order()) for c in ("high", "low", "close")}
     high, low, close = F.col("high"), F.col("low"), F.col("close")
     top, bottom = F.greatest(high, before["high"]), F.least(low, before["low"])
     beta = F.pow(F.log(top / bottom), 2)
@@ -37,7 +40,7 @@ def prepared(bars: DataFrame) -> DataFrame:
             "__range": F.log(high / (low + EPS) + EPS),
             "__pair": F.when(usable, 2 * (F.exp(alpha) - 1) / (1 + F.exp(alpha))),
         }
-    ).withColumn("__before", F.lag("__ret").over(_ORDER))
+    ).withColumn("__before", F.lag("__ret").over(_order()))
 
 
 def _full(n: int, value: Column, rows: int = 0) -> Column:

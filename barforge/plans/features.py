@@ -188,8 +188,8 @@ SELECT c.symbol, c.idx, round(CASE WHEN c.idx > 1 THEN sqrt(s2 / s0 * s0 * s0 /
     "ar_lags": f"WITH {HOURS} SELECT symbol, idx, " + ", ".join(f"lag(close, {k}) OVER (PARTITION BY symbol ORDER BY idx) AS close_lag_{k}" for k in range(1, LAGS + 1)) + " FROM bars",
     "ar_fit": f"WITH {HOURS}, l AS (SELECT close AS y, lag(close) OVER (PARTITION BY symbol ORDER BY idx) AS x FROM bars) SELECT regr_count(y, x)::BIGINT AS n, round(regr_intercept(y, x), 4) AS intercept, round(regr_slope(y, x), 6) AS slope, round(regr_r2(y, x), 6) AS r2, (CASE WHEN round(sqrt(regr_count(y, x))) > 200 THEN 50 WHEN round(sqrt(regr_count(y, x))) > 100 THEN 75 ELSE round(sqrt(regr_count(y, x))) END)::INT AS p_max FROM l",
     "ar_residual_stats": f"WITH {HOURS}, l AS (SELECT close AS y, lag(close) OVER (PARTITION BY symbol ORDER BY idx) AS x FROM bars), m AS (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM l), e AS (SELECT y - a - b * x AS r FROM l, m WHERE x IS NOT NULL) SELECT round(stddev_pop(r), 4) AS std, round(skewness(r), 4) AS skew, round(kurtosis(r), 4) AS kurtosis FROM e",
-    "triple_barrier": f"WITH RECURSIVE {_LABELLED} SELECT symbol, time, side, t1, t_pt, t_sl, round(ret, 6) AS ret, label, meta_label FROM lab",
-    "label_counts": f"WITH RECURSIVE {_LABELLED} SELECT symbol, label, count(*) AS n, round(avg(ret), 6) AS ret FROM lab GROUP BY symbol, label",
+    "triple_barrier": f"WITH RECURSIVE {_LABELLED} SELECT symbol, time, side, t1, t_pt, t_sl, round(ret, 6) + 0.0::DOUBLE AS ret, label, meta_label FROM lab",
+    "label_counts": f"WITH RECURSIVE {_LABELLED} SELECT symbol, label, count(*) AS n, round(avg(ret), 6) + 0.0::DOUBLE AS ret FROM lab GROUP BY symbol, label",
     "uniqueness": f"WITH {_UNIQUE} SELECT symbol, time, round(uniqueness, 6) AS uniqueness FROM uq",
     "sample_weights": f"WITH {_UNIQUE} SELECT symbol, time, round(uniqueness * pow({DECAY}::DOUBLE, floor(epoch(max(time) OVER (PARTITION BY symbol) - time) / 86400)), 6) AS weight FROM uq",
     "shannon": f"""WITH {HOURS}, w AS (

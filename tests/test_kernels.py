@@ -1,0 +1,125 @@
+"""Kernels against worked examples and plain row-by-row versions."""
+
+import numpy as np
+import pandas as pd
+import pytest
+
+from barforge.functions.ticks import with_net, with_side
+from barforge.operators import bars, entropy, labels, series, validation
+
+PRICE, QTY = [10, 11, 11, 9, 9, 12, 12, 8], [1, 2, 1, 3, 1, 2, 1, 4]
+
+
+@pytest.fixture(scope="module")
+def tape(spark):
+    rows = [("s", i, (pd.Timestamp(2024, 1, 1) + pd.Timedelta(seconds=i)).to_pydatetime(), float(p), float(q), float(p * q)) for i, (p, q) in enumerate(zip(PRICE, QTY, strict=True))]
+    return with_net(with_side(spark.createDataFrame(rows, "symbol string, seq long, time timestamp_ntz, price double, qty double, quoteQty double")))
+
+
+def test_tick_rule(tape):
+    rows = tape.orderBy("seq").collect()
+    assert [r.side for r in rows] == [1, -1, -1, 1, 1, -1, -1, 1]
+    assert [r.net for r in rows] == [10, -22, -11, 27, 9, -24, -12, 32]
+
+
+def test_standard_bars(tape):
+    got = [(r.start_seq, r.end_seq, r.open, r.high, r.low, r.close, r.theta, r.buy, r.usd, r.qty, r.ticks, r.ticks_buy) for r in bars.standard_bars(tape, 40.0).orderBy("bar_id").collect()]
+    assert got == [(0, 2, 10, 11, 10, 11, -23, 10, 43, 4, 3, 1), (3, 5, 9, 12, 9, 12, 12, 36, 60, 6, 3, 2), (6, 7, 12, 12, 8, 8, 20, 32, 44, 5, 2, 1)]
+
+
+def test_imbalance_bars(tape):
+    got = [(r.end_seq, r.theta, r.ticks, r.ewma_t, r.ewma_imbalance) for r in bars.imbalance_bars(tape, 2, 0.5, 0.5).orderBy("bar_id").collect()]
+    assert got == [(1, -12, 2, 2, 6), (3, 16, 2, 2, 7), (5, -15, 2, 2, 7.25), (7, 20, 2, 2, 8.625)]
+
+
+@pytest.mark.parametrize("kernel", ["standard", "imbalance", "legacy"])
+def test_bars_do_not_depend_on_batches(kernel):
+    rng = np.random.default_rng(1)
+    n = 3000
+    rows = pd.DataFrame({"seq": np.arange(n), "time": pd.Timestamp(2024, 1, 1) + pd.to_timedelta(np.arange(n), unit="s"), "price": rng.integers(90, 110, n).astype(float), "qty": 1.0, "side": rng.choice([-1, 1], n)})
+    rows["net"] = rows["price"] * rows["side"]
+    make = {"standard": lambda: bars.StandardKernel("s", threshold=1234.0), "imbalance": lambda: bars.ImbalanceKernel("s", init_ticks=20, reset_hours=0.02), "legacy": lambda: bars.LegacyKernel("s", init_volume=900.0)}[kernel]
+
+    def run(size):
+        own, out = make(), []
+        for a in range(0, n, size):
+            got = own.push(rows.iloc[a : a + size])
+            out += got.to_dict("records")
+        return pd.DataFrame(out)
+
+    whole = run(n)
+    assert len(whole) > 5
+    for size in (1, 7, 500):
+        pd.testing.assert_frame_equal(whole, run(size)[whole.columns], check_dtype=False)
+
+
+def test_fracdiff_weights():
+    assert series.fracdiff_weights(1.0, 100).tolist() == [1, -1, 0]
+    w = series.fracdiff_weights(0.5, 5000)
+    assert w[:4].tolist() == [1, -0.5, -0.125, -0.0625] and len(w) == 928
+
+
+def test_halo_blocks_equal_one_block(spark):
+    v = np.random.default_rng(2).normal(size=700).cumsum() + 50
+    rows = spark.createDataFrame([("s", i, float(x)) for i, x in enumerate(v)], "symbol string, idx long, value double")
+    fn = lambda a: pd.Series(a).rolling(30).mean().to_numpy()
+    got = series.halo_blocks(rows, 29, fn, "m double", block=64).orderBy("idx").toPandas()["m"].to_numpy(dtype=float)
+    np.testing.assert_allclose(got, fn(v), rtol=1e-12)
+
+
+def test_ewm_std(spark):
+    rows = spark.createDataFrame([("s", i, x) for i, x in enumerate([1.0, 2.0, 4.0, 4.5])], "symbol string, idx long, value double")
+    got = [r.vol for r in series.ewm_std(rows, 3).orderBy("idx").collect()]
+    assert got[:2] == [None, None] and abs(got[2]) < 1e-12 and abs(got[3] - 0.5728219619) < 1e-9
+
+
+def test_cusum(spark):
+    rows = spark.createDataFrame([("s", i, r, 1.0) for i, r in enumerate([0.5, 0.8, -0.2, 1.5, -3.0, -0.5, 0.1])], "symbol string, idx long, residual double, vol double")
+    assert [(r.idx, r.side) for r in series.cusum_events(rows, 1.0).orderBy("idx").collect()] == [(1, 1), (3, 1), (4, -1)]
+
+
+@pytest.mark.parametrize(("text", "value"), [("0101", 1.5), ("00000000", 1.5), ("01101001", 1.875)])
+def test_lempel_ziv(text, value):
+    assert entropy.lempel_ziv(np.array(list(map(int, text)))) == value
+
+
+@pytest.mark.parametrize(("text", "value"), [("0101", 1.0), ("00000000", 0.913043478), ("01101001", 1.3125)])
+def test_kontoyiannis(text, value):
+    assert abs(entropy.kontoyiannis(np.array(list(map(int, text)))) - value) < 1e-8
+
+
+def test_bins():
+    x = np.array([1.0, 2, 3, 4, 5])
+    assert entropy.cut_quantile(x, 4).tolist() == [0, 1, 2, 3, 3]
+    assert entropy.cut_equal(x, 4).tolist() == [0, 0, 1, 2, 3] == pd.cut(x, 4, labels=False).tolist()
+    assert entropy.shannon_rows(np.array([[1.0, 1, 2, 5]]), 4)[0] == 1.5
+
+
+def test_uniqueness(spark):
+    at = lambda m: None if m is None else (pd.Timestamp(2024, 1, 1) + pd.Timedelta(minutes=m)).to_pydatetime()
+    rows = spark.createDataFrame([("s", at(a), at(b)) for a, b in ((0, 10), (5, 15), (12, 20), (30, 40), (35, None))], "symbol string, time timestamp_ntz, t1 timestamp_ntz")
+    assert [round(r.uniqueness, 9) for r in labels.uniqueness(rows).orderBy("time").collect()] == [0.5, round(1 / 3, 9), 0.5, 1.0, 1.0]
+
+
+def test_paths():
+    assert validation.number_of_paths(6, 2) == 5
+    assert abs(validation.deflated_sharpe(2.0, 5, float(np.std([1, 0.5, 2, -1, 1.5]))) - 0.1528377509) < 1e-9
+
+
+def test_overfitting(spark):
+    row = validation.overfitting(spark.createDataFrame([(x,) for x in (1.0, 0.5, 2.0, -1.0, 1.5)], "sharpe double")).first()
+    assert row.pbo == 0.4 and abs(row.deflated_sharpe - 0.1528377509) < 1e-9
+
+
+def test_adf_tells_noise_from_walk():
+    rng = np.random.default_rng(3)
+    noise = rng.normal(size=500)
+    assert series.adf(noise)["pvalue"] < 0.01 < 0.1 < series.adf(noise.cumsum())["pvalue"]
+
+
+def test_phi(spark):
+    rows = validation.phi_matrix(spark, 4, 2).where("is_test = 1").orderBy("comb_idx", "group_idx").collect()
+    chosen = {}
+    for r in rows:
+        chosen.setdefault(r.comb_idx, []).append(r.group_idx)
+    assert list(chosen.values()) == [[0, 1], [0, 2], [0, 3], [1, 2], [1, 3], [2, 3]]
