@@ -1,10 +1,10 @@
-"""Ids of byte-level BPE by the tokenizers library, with a bounded table of chunks seen before.
+"""Ids of byte-level BPE by the tokenizers library, with bounded tables of what was seen before.
 
 The pre-tokeniser of this vocabulary always starts a pre-token at a single space between two
-characters that are no white space, and a single line feed between two such characters is a
-pre-token by itself, so ids of the chunks between such spaces can be put together. Texts in which
-another kind of white space touches a space, or that hold an added token's string, go to the
-library whole.
+characters that are no white space, so ids of the chunks between such spaces can be put together.
+A new chunk of common characters is cut into pre-tokens and each new pre-token goes to the
+library's BPE model once; other chunks, and texts in which another kind of white space touches a
+space or that hold an added token's string, go through the library's whole ``encode``.
 """
 
 from __future__ import annotations
@@ -14,11 +14,15 @@ import os
 import re
 
 import numpy as np
+import regex
 
 CHUNKS = 400_000
 _SAFE = r"\w!-~¡¿«»–—‘’“”…"  # no white space in any library's tables
 _ODD = re.compile(rf"(?:^|[^{_SAFE}]) | (?:$|[^{_SAFE}])")
-_SIMPLE = re.compile(rf" ?[{_SAFE}]+(?:\n[{_SAFE}]+)*")
+_COMMON = "!-~¡-ɏ–—‘’“”…"  # classes of these characters are the same in every Unicode version
+_SIMPLE = re.compile(rf" ?[{_COMMON}]+(?:\n[{_COMMON}]+)*")
+#: The public pre-token pattern of byte-level BPE.
+_PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _encoders: dict[str, "ByteChunks"] = {}
 
 
@@ -30,38 +34,41 @@ class ByteChunks:
         self.library = Tokenizer.from_file(path)
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.size = self.library.get_vocab_size()
-        feed = self._whole("a\nb")
-        self.feed = feed[1] if self._splits() else None
+        self.model = self.library.model
+        self.letters = _letters()
+        self.parts: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
+        self.cuts = self._cuts()
 
     def _whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def _splits(self) -> bool:
+    def _pre_token(self, part: str) -> bytes:
+        """Ids of one pre-token by the library's model, which takes bytes as letters."""
+        return np.array([t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))], np.uint32).tobytes()
+
+    def _cuts(self) -> bool:
         """The boundaries above hold for this vocabulary; else every text goes to the library whole."""
-        probe = ["It's", " 12ab!?", " don't", "\n", "Über--x", " ."]
-        return self._whole("".join(probe)) == list(itertools.chain.from_iterable(map(self._whole, probe))) and len(self._whole("\n")) == 1
+        probe = ["It's", " 12ab!?", " don't\nÜber--x", " .", " ªx²½"]
+        cut = [np.frombuffer(self._pre_token(p), np.uint32).tolist() for c in probe for p in _PRE.findall(c)]
+        return self._whole("".join(probe)) == list(itertools.chain.from_iterable(cut))
+
+    def _chunk(self, c: str) -> bytes:
+        if not _SIMPLE.fullmatch(c):
+            return np.array(self._whole(c), np.uint32).tobytes()
+        parts, ids = self.parts, b""
+        for p in _PRE.findall(c):
+            got = parts.get(p)
+            if got is None:
+                got = parts[p] = self._pre_token(p)
+            ids += got
+        return ids
 
     def _fill(self, fresh: list[str]) -> None:
-        """Encodes new chunks many at a time; the line feed's id ends each."""
-        end = self.feed
-        simple = []
-        for c in fresh:
-            if _SIMPLE.fullmatch(c):
-                simple.append((c, c.split("\n")))
-            else:
-                self.known[c] = np.array(self._whole(c), np.uint32).tobytes()
-        for at in range(0, len(simple), 2048):
-            group = simple[at : at + 2048]
-            ids = np.array(self._whole("".join([x + "\n" for _, p in group for x in p])), np.uint32)
-            ends = np.flatnonzero(ids == end)
-            count = np.cumsum([len(p) for _, p in group])
-            if len(ends) != count[-1]:
-                raise ValueError("a chunk holds the id of the line feed")
-            start = 0
-            for (c, _), last in zip(group, ends[count - 1].tolist(), strict=True):
-                self.known[c] = ids[start:last].tobytes()
-                start = last + 1
+        if len(self.parts) > CHUNKS:
+            self.parts.clear()
+        for w in fresh:
+            self.known[w] = self._chunk(" " + w)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text, as ``Tokenizer.encode(text, add_special_tokens=False)``."""
@@ -69,17 +76,33 @@ class ByteChunks:
             self.known.clear()
         split: list[list[str] | None] = []
         for text in texts:
-            whole = self.feed is None or _ODD.search(text) or any(a in text for a in self.added)
-            if whole or not text:
-                split.append(None if whole else [])
+            if not self.cuts or _ODD.search(text) or any(a in text for a in self.added):
+                split.append(None)
             else:
-                first, *rest = text.split(" ")
-                split.append([first, *[" " + w for w in rest]])
+                split.append(text.split(" "))
+        # chunks but a text's first start with the space that they are known without
         known = self.known
-        fresh = [c for c in dict.fromkeys(itertools.chain.from_iterable(s for s in split if s)) if c not in known]
+        fresh = [w for w in set(itertools.chain.from_iterable(s for s in split if s)) if w not in known]
         if fresh:
             self._fill(fresh)
-        return [np.array(self._whole(t), np.uint32) if s is None else np.frombuffer(b"".join([known[c] for c in s]), np.uint32) for t, s in zip(texts, split, strict=True)]
+        out = []
+        for text, words in zip(texts, split, strict=True):
+            if words is None:
+                ids = np.array(self._whole(text), np.uint32)
+            elif not text:
+                ids = np.empty(0, np.uint32)
+            else:
+                start = self._chunk(words[0])
+                ids = np.frombuffer(start + b"".join([known[w] for w in words[1:]]), np.uint32)
+            out.append(ids)
+        return out
+
+
+def _letters() -> dict[int, str]:
+    """The printable letter that byte-level BPE writes for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 def encoder(path: str) -> ByteChunks:
