@@ -100,3 +100,34 @@ def features(bars: DataFrame, spread_windows: tuple[int, ...] = SPREAD_WINDOWS,
     made = {f"{name}_{n}": fn(n) for name, fn in FAMILIES.items() for n in (spread_windows if name == "corwin_schultz" else windows)}
     ready = prepared(bars)
     return ready.withColumns(made).drop("__sell", "__ret", "__range", "__pair", "__before")
+
+
+# --- the older definitions: frames end at the current row, returns are relative to the previous close ---
+
+
+def change() -> Column:
+    before = F.lag("close").over(_order())
+    return F.col("close") / before - 1
+
+
+def roll_spread_v2(n: int, ret: str = "__change", before: str = "__change_before") -> Column:
+    """From successive changes of the last ``n`` rows; null covariances count as 0."""
+    cov = F.covar_samp(ret, before).over(frame(n))
+    return _full(n, F.when(cov < 0, 2 * F.sqrt(-cov)).otherwise(0.0), 1)
+
+
+def amihud_v2(n: int, ret: str = "__change") -> Column:
+    return _full(n, F.avg(F.abs(ret) / F.col("volume")).over(frame(n)), 1)
+
+
+def volatility_v2(n: int, ret: str = "__change") -> Column:
+    return _full(n, F.stddev_samp(ret).over(frame(n)), 1)
+
+
+def rolling_population(n: int, column: str) -> tuple[Column, Column]:
+    """Rolling mean and population deviation."""
+    return _full(n, F.avg(column).over(frame(n))), _full(n, F.stddev_pop(column).over(frame(n)))
+
+
+def with_change(bars: DataFrame) -> DataFrame:
+    return bars.withColumn("__change", change()).withColumn("__change_before", F.lag("__change").over(_order()))

@@ -24,10 +24,14 @@ def sample_kurtosis(x: Column) -> Column:
     return F.when(n > 3, (n - 1) / ((n - 2.0) * (n - 3)) * ((n + 1) * F.kurtosis(x) + 6))
 
 
-def describe(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """A row per column: count, mean, std, quartiles, extremes, shares missing and zero, skew, kurtosis."""
-    x = F.col("value")
-    quartiles = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
+def describe(rows: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
+    """A row per column: count, mean, std, quartiles, extremes, shares missing and zero, skew, kurtosis.
+
+    Exact quartiles hold a column's distinct values in one task; pass ``exact=False`` for sketches
+    (error 1e-4 of the rank) where columns have more of them than that.
+    """
+    x, at = F.col("value"), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    quartiles = F.percentile(x, at) if exact else F.percentile_approx(x, at, 10_000)
     return (
         long(rows, columns)
         .groupBy("feature")
@@ -89,3 +93,23 @@ def regression(rows: DataFrame, actual: str, predicted: str) -> DataFrame:
 def residual_stats(rows: DataFrame, residual: str) -> DataFrame:
     r = F.col(residual)
     return rows.agg(F.avg(r).alias("mean"), F.stddev_pop(r).alias("std"), sample_skew(r).alias("skew"), sample_kurtosis(r).alias("kurtosis"))
+
+
+def class_distribution(rows: DataFrame, label: str) -> DataFrame:
+    """``label, n, share``."""
+    counts = rows.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n").alias("__total"))  # one row
+    return counts.crossJoin(F.broadcast(total)).select("label", "n", (F.col("n") / F.col("__total")).alias("share"))
+
+
+def correlations(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``a, b, corr`` of every pair of columns, all of them from one aggregation."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    wide = rows.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    return wide.select(F.expr(f"stack({len(pairs)}, " + ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs)) + ") as (a, b, corr)"))
+
+
+def standard_scores(rows: DataFrame, column: str, key: str = "symbol") -> DataFrame:
+    """Adds ``z``: distance from the key's mean in sample deviations. Means are joined back, so no key is gathered."""
+    stats = rows.groupBy(key).agg(F.avg(column).alias("__m"), F.stddev_samp(column).alias("__s"))
+    return rows.join(stats, key).withColumn("z", (F.col(column) - F.col("__m")) / F.col("__s")).drop("__m", "__s")

@@ -100,3 +100,30 @@ def split_fractions(rows: DataFrame, order: str, train: float, validation: float
     at, n = F.row_number().over(w.orderBy(order)) - 1, F.count("*").over(w)
     a, b = F.floor(n * train), F.floor(n * train) + F.floor(n * validation)
     return rows.withColumn("part", F.when(at < a, "train").when(at < b, "validation").otherwise("test"))
+
+
+def codec_sizes(spark: SparkSession, rows: DataFrame, folder: str, codecs: tuple[str, ...] = ("snappy", "gzip", "zstd", "lz4", "none")) -> DataFrame:
+    """``codec, bytes, write_s, read_s``: the rows written and read with each codec, one job after another."""
+    import time
+
+    out = []
+    for codec in codecs:
+        path, began = f"{folder}/{codec}", time.perf_counter()
+        rows.write.mode("overwrite").option("compression", codec).parquet(path)
+        wrote = time.perf_counter()
+        spark.read.parquet(path).write.format("noop").mode("overwrite").save()
+        read = time.perf_counter()
+        size = spark.read.format("binaryFile").load(f"{path}/*.parquet").agg(F.sum("length")).first()[0]
+        out.append((codec, int(size or 0), wrote - began, read - wrote))
+    return spark.createDataFrame(out, "codec string, bytes long, write_s double, read_s double")
+
+
+def pending(wanted: DataFrame, manifest: DataFrame, key: str = "path") -> DataFrame:
+    """Files that the manifest does not list as done, so a stopped ingest takes up where it was."""
+    return wanted.join(manifest.where("state = 'completed'").select(key), key, "left_anti")
+
+
+def archive_urls(dates: DataFrame, base: str, symbol: str, monthly: bool = False) -> DataFrame:
+    """``date, url`` of the archives of a symbol under a base address; fetching them is left to the caller."""
+    stamp = F.date_format("date", "yyyy-MM" if monthly else "yyyy-MM-dd")
+    return dates.select("date", F.concat(F.lit(f"{base.rstrip('/')}/{symbol}/{symbol}-trades-"), stamp, F.lit(".zip")).alias("url"))
