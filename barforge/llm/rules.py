@@ -124,7 +124,10 @@ def metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         "n_ellipsis_lines": _size(F.filter(lines, lambda x: x.endswith("...") | x.endswith("…"))),
         "n_bullet_lines": _size(F.filter(lines, lambda x: x.rlike("^[\\x20\\t]*[-*•]"))),
     }
-    return out.withColumn("__m", F.struct(*[c.cast("long").alias(k) for k, c in values.items()]))
+    # A generator of one row: filters on the verdict stay above it, where they would otherwise be
+    # moved below these projections and repeat their expressions within one another.
+    made = F.array(F.struct(*[c.cast("long").alias(k) for k, c in values.items()]))
+    return out.select("*", F.explode(made).alias("__m"))
 
 
 def judge(docs: DataFrame, table: Sequence[Rule] = TABLE, base: Sequence[Rule] = BASE, text_col: str = "text") -> DataFrame:
