@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Python stages hold at most this much text at a time, or one document where that is longer.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
