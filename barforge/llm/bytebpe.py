@@ -16,7 +16,7 @@ import re
 import numpy as np
 import regex
 
-CHUNKS = 400_000
+CHUNKS = 250_000
 _SAFE = r"\w!-~¡¿«»–—‘’“”…"  # no white space in any library's tables
 _ODD = re.compile(rf"(?:^|[^{_SAFE}]) | (?:$|[^{_SAFE}])")
 _COMMON = "!-~¡-ɏ–—‘’“”…"  # classes of these characters are the same in every Unicode version
@@ -65,7 +65,7 @@ class ByteChunks:
         return ids
 
     def _fill(self, fresh: list[str]) -> None:
-        if len(self.parts) > CHUNKS:
+        if len(self.parts) > CHUNKS // 2:
             self.parts.clear()
         for w in fresh:
             self.known[w] = self._chunk(" " + w)
