@@ -94,6 +94,27 @@ def daily_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upkeep.daily_gaps(_large_orders(spark, sf_dir), "day")
 
 
+def _order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day of every order, whatever its price."""
+    return tape.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
+
+
+def missing_days_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upkeep.missing_dates(_order_days(spark, sf_dir), "day", weekdays=True)
+
+
+def missing_months_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upkeep.completeness(_order_days(spark, sf_dir), "day")
+
+
+def daily_gaps_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upkeep.daily_gaps(_order_days(spark, sf_dir), "day")
+
+
+def month_edges_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upkeep.month_edges(_order_days(spark, sf_dir), "day")
+
+
 def append_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tape.table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("time"), F.col("l_quantity").cast("double").alias("qty"))
     fresh = upkeep.append_new(rows.where("time < date'1996-01-01'"), rows)
@@ -159,7 +180,7 @@ _FOLD_BARS = """, f AS (
 )"""
 _DOLLAR = "WITH RECURSIVE " + TAPE + _FOLD_BARS.format(t=THRESHOLD, bar=_BAR_SQL)
 
-QUERIES = {f.__name__: f for f in (tick_side, net_volume, time_unit, dedupe_trades, missing_days, missing_months, daily_gaps, append_filter, audit_trades, month_edges, time_split, dollar_bars, imbalance_bars, imbalance_bars_v0, bar_grid, bar_collapse, bar_gap_stats, lineitem_bars)}
+QUERIES = {f.__name__: f for f in (tick_side, net_volume, time_unit, dedupe_trades, missing_days, missing_months, daily_gaps, missing_days_all, missing_months_all, daily_gaps_all, month_edges_all, append_filter, audit_trades, month_edges, time_split, dollar_bars, imbalance_bars, imbalance_bars_v0, bar_grid, bar_collapse, bar_gap_stats, lineitem_bars)}
 _LARGE = "large AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders WHERE o_totalprice > 400000)"
 ORACLES = {
     "tick_side": f"WITH {TAPE} SELECT symbol, seq, side, net FROM sided",
@@ -223,3 +244,5 @@ SELECT symbol, count(*) AS bars, count(DISTINCT end_time::DATE) AS days, round(a
 )
 SELECT symbol, bar_id::BIGINT AS bar_id, start_seq, end_seq, usd, (end_seq - start_seq + 1)::BIGINT AS ticks FROM f""",
 }
+_ALL = "large AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders)"
+ORACLES |= {f"{k}_all": ORACLES[k].replace(_LARGE, _ALL) for k in ("missing_days", "missing_months", "daily_gaps", "month_edges")}
