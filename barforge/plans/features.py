@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barforge.operators import entropy, labels, series
 from barforge.operators import microstructure as M
 from barforge.plans.tapes import HOURS, hour_bars
+from barforge.sources import tape
 
 D, D_THRESHOLD, SPAN, TAU, MINUTES = 0.5, 0.01, 20, 1.0, 360
 PT, SL, TARGET = 1.0, 1.0, 20.0
@@ -24,6 +25,13 @@ def frac_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.fracdiff(_close(spark, sf_dir), D, D_THRESHOLD).select("symbol", "idx", F.round("value", 6).alias("value"))
 
 
+def frac_diff_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All weights down to the operator's own threshold (928 rows at d = 0.5), on the trades of the second tape."""
+    w = Window.partitionBy("symbol").orderBy("seq")
+    rows = tape.trades_from_lineitem(spark, sf_dir).select("symbol", (F.row_number().over(w) - 1).cast("long").alias("idx"), F.col("price").alias("value"))
+    return series.fracdiff(rows, D).select("symbol", "idx", F.round("value", 4).alias("value"))
+
+
 def ewm_vol(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.ewm_std(_close(spark, sf_dir), SPAN).select("symbol", "idx", F.round("vol", 6).alias("vol"))
 
@@ -117,7 +125,7 @@ def adf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.adf_of(_close(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (frac_diff, ewm_vol, cusum_events, ar_lags, ar_fit, ar_residual_stats, triple_barrier, label_counts, uniqueness, sample_weights, feature_matrix, shannon, lz, kont, adf)}
+QUERIES = {f.__name__: f for f in (frac_diff, frac_diff_wide, ewm_vol, cusum_events, ar_lags, ar_fit, ar_residual_stats, triple_barrier, label_counts, uniqueness, sample_weights, feature_matrix, shannon, lz, kont, adf)}
 QUERIES |= {name: _feature(name, SPREAD_N if name == "corwin_schultz" else N) for name in M.FAMILIES}
 
 _EVENTS = f"""{HOURS}, r AS (
@@ -208,3 +216,8 @@ FROM lab JOIN g ON g.symbol = lab.symbol AND g.time = lab.time
 WHERE corwin_schultz_{SPREAD_N} IS NOT NULL AND oir_{N}_lag_2 IS NOT NULL AND volatility_{N}_lag_2 IS NOT NULL""",
 }
 ORACLES |= {k: f"WITH {_READY} SELECT symbol, idx, round({sql}, 6) AS {k} FROM z" for k, sql in _FEATURE_SQL.items()}
+ORACLES["frac_diff_wide"] = f"""WITH RECURSIVE {_FRAC.replace(f'>= {D_THRESHOLD}', '>= 0.00001')}, t AS (
+  SELECT l_returnflag AS symbol, row_number() OVER p - 1 AS idx, list(l_extendedprice::DOUBLE / l_quantity::DOUBLE) OVER (p ROWS BETWEEN 927 PRECEDING AND CURRENT ROW) AS past
+  FROM lineitem WINDOW p AS (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey)
+), v AS (SELECT list(w ORDER BY k DESC) AS ws FROM w)
+SELECT symbol, idx, round(list_dot_product(past, ws), 4) AS value FROM t, v WHERE len(past) = len(ws)"""
