@@ -32,10 +32,11 @@ def ar_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ar_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chosen order, inflation of its lags and the advice that follows."""
+    """Chosen order of up to the largest for the number of bars, inflation of its lags and the advice that follows."""
     rows = features._close(spark, sf_dir)
-    order = series.select_ar_order(rows, 4)
-    inflation = series.vif(rows, 4)
+    n, longest = rows.agg(F.count("*"), F.max("idx") + 1).first()
+    order = series.select_ar_order(rows, max(1, min(series.largest_order(n), longest // 2 - 1)))
+    inflation = series.vif(rows, order)
     return spark.createDataFrame([(order, float(max(inflation)), series.recommend(inflation))], "p long, largest_vif double, advice string")
 
 
