@@ -131,9 +131,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, id_col:
     its own text's component. A null id gets its text's component, or keeps the row if there is
     none. An empty table gives an empty result; other columns are not looked at.
     """
-    spark = docs.sparkSession
     rows = id_text(docs, id_col, text_col)
-    signed = scratch.table(signatures(rows, size), "minhash-signatures")
+    return _judged(rows, scratch.table(signatures(rows, size), "minhash-signatures"), size, threshold)
+
+
+def _judged(rows: DataFrame, signed: DataFrame, size: int, threshold: int) -> DataFrame:
     nodes = scratch.table(signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")).where("rep is not null"), "minhash-nodes")
     banded = nodes.select("rep", "n", F.explode("bands").alias("band"))
 
@@ -181,6 +183,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, id_col:
 
 
 def keep_one(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id names their component, with their own columns."""
-    judged = scratch.table(near_duplicates(docs, size, threshold, id_col, text_col).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "minhash-gone")
+    """One row of each component, the one of the least id, with its own columns; all rows of texts without words.
+
+    Where an id is null or repeated, rows are numbered in the order of their ids, nulls last, and judged by number.
+    """
+    rows = id_text(docs, id_col, text_col)
+    signed = scratch.table(signatures(rows, size), "minhash-signatures")
+    if not signed.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty():
+        order = docs.orderBy(F.col(id_col).asc_nulls_last(), F.monotonically_increasing_id())
+        numbered = scratch.table(order.withColumn("__row", F.monotonically_increasing_id()), "minhash-numbered")
+        return keep_one(numbered, size, threshold, "__row", text_col).drop("__row")
+    judged = scratch.table(_judged(rows, signed, size, threshold).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "minhash-gone")
     return docs.join(_small(judged, judged.count()), F.col(id_col) == F.col("__gone"), "left_anti")
