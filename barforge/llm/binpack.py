@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barforge.llm import bytebpe, scratch
-from barforge.llm.sources import id_text, slices
+from barforge.llm.sources import TOKENIZER_BYTES, id_text, slices
 
 
 @dataclass(frozen=True)
@@ -108,20 +108,24 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, tokens: int = 102
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, end = bytebpe.encoder(tokenizer), np.array([end_id], np.uint32)
-        for batch in slices(batches):
-            at, piece, start, length, crc, ids_of = [], [], [], [], [], []
-            for i, ids in enumerate(own.encode(batch.column("text").to_pylist())):
-                ids = np.concatenate([ids, end]).astype("<u4")
-                cuts = [0, *range(len(ids) % tokens or tokens, len(ids), tokens), len(ids)] if len(ids) > tokens else [0, len(ids)]
-                for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                    at.append(i), piece.append(k), start.append(a), length.append(b - a), crc.append(zlib.crc32(ids[a:b]))
-                    if keep_ids:
-                        ids_of.append(ids[a:b].astype(np.int32))
-            columns = [batch.column("doc_id").take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
+        own = bytebpe.encoder(tokenizer)
+        for batch in slices(batches, most=TOKENIZER_BYTES, rows=65_536):
+            flat, ends = own.encode_array(batch.column("text"))
+            flat = np.insert(flat, ends[1:], end_id).astype("<u4", copy=False)
+            first = ends + np.arange(len(ends))  # of each document's ids, its end included
+            size = np.diff(first)
+            per = np.maximum(1, -(-size // tokens))
+            at = np.repeat(np.arange(len(size)), per)
+            piece = np.arange(len(at)) - np.repeat(np.cumsum(per) - per, per)
+            lead = size - (per - 1) * tokens  # what the first piece has
+            start = np.where(piece > 0, lead[at] + (piece - 1) * tokens, 0)
+            length = np.where(piece > 0, tokens, lead[at])
+            begin = (first[at] + start).tolist()
+            crc = [zlib.crc32(flat[a : a + n]) for a, n in zip(begin, length.tolist(), strict=True)]
+            columns = [batch.column("doc_id").take(pa.array(at)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())]
             names = ["doc_id", "piece", "start", "length", "ids_crc32"]
             if keep_ids:
-                columns, names = [*columns, pa.array(ids_of, pa.list_(pa.int32()))], [*names, "ids"]
+                columns, names = [*columns, pa.ListArray.from_arrays(pa.array(np.append(begin, len(flat)).astype(np.int32)), pa.array(flat.astype(np.int32)))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return rows.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids)

@@ -1,10 +1,12 @@
 """Ids of byte-level BPE by the tokenizers library, with bounded tables of what was seen before.
 
 The pre-tokeniser of this vocabulary always starts a pre-token at a single space between two
-characters that are no white space, so ids of the chunks between such spaces can be put together.
-A new chunk of common characters is cut into pre-tokens and each new pre-token goes to the
-library's BPE model once; other chunks, and texts in which another kind of white space touches a
-space or that hold an added token's string, go through the library's whole ``encode``.
+characters that are no white space, so a text is cut there into chunks whose ids can be put
+together. Chunks are views of the Arrow buffer; those of a slice are looked up in the table of
+known chunks at once, and their ids are gathered from one flat array. A new chunk of common
+characters is cut into pre-tokens and each new pre-token goes to the library's BPE model once;
+other chunks (odd white space, rare characters, an added token's string) go through the library's
+whole ``encode``. A full table keeps the half that was used most; this costs time, never ids.
 """
 
 from __future__ import annotations
@@ -12,13 +14,17 @@ from __future__ import annotations
 import itertools
 import os
 import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
-CHUNKS = 250_000
-_SAFE = r"\w!-~¡¿«»–—‘’“”…"  # no white space in any library's tables
-_ODD = re.compile(rf"(?:^|[^{_SAFE}]) | (?:$|[^{_SAFE}])")
+from barforge.llm.shingles import buffers
+
+#: Chunks and pre-tokens that a worker's tables hold at most, and chunks that are looked up at once.
+CHUNKS, PARTS, AT_ONCE = 400_000, 150_000, 1_000_000
 _COMMON = "!-~¡-ɏ–—‘’“”…"  # classes of these characters are the same in every Unicode version
 _SIMPLE = re.compile(rf" ?[{_COMMON}]+(?:\n[{_COMMON}]+)*")
 #: The public pre-token pattern of byte-level BPE.
@@ -26,26 +32,91 @@ _PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N
 _encoders: dict[str, "ByteChunks"] = {}
 
 
+def _bytes(*ranges: tuple[int, int]) -> np.ndarray:
+    table = np.zeros(256, bool)
+    for first, last in ranges:
+        table[first : last + 1] = True
+    return table
+
+
+# UTF-8 of characters that are no white space in any library's tables: visible ASCII, U+00C0 to
+# U+07FF, U+4000 and up, and the dashes, quotes and dots of _COMMON (E2 80 and one of _TAIL).
+_ASCII, _LEAD2, _LEAD3, _LEAD4 = _bytes((0x21, 0x7E)), _bytes((0xC3, 0xDF)), _bytes((0xE4, 0xEF)), _bytes((0xF0, 0xF4))
+_MORE = _bytes((0x80, 0xBF))
+_TAIL = _bytes(*((ord(c) & 0x3F | 0x80,) * 2 for c in "–—‘’“”…"))
+
+
+def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where chunks start in the UTF-8 of some texts: at each text, and at each single space inside it."""
+    n = len(data)
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    at = np.flatnonzero(data == 0x20)
+    at = at[~edge[at] & ~edge[at + 1]]  # characters of the same text on both sides
+    ahead = lambda k: data[np.minimum(at + k, n - 1)]
+    back = lambda k: data[np.maximum(at - k, 0)]
+    a, b, c = ahead(1), back(1), back(2)
+    after = _ASCII[a] | _LEAD2[a] | _LEAD3[a] | _LEAD4[a]
+    odd = np.flatnonzero(~after & (a == 0xE2))
+    if len(odd):
+        after[odd] = (ahead(2)[odd] == 0x80) & _TAIL[ahead(3)[odd]]
+    before = _ASCII[b] | (_MORE[b] & _LEAD2[c])
+    if not before.all():
+        d, e = back(3), back(4)
+        before |= _MORE[b] & _MORE[c] & (_LEAD3[d] | (_MORE[d] & _LEAD4[e]) | ((d == 0xE2) & (c == 0x80) & _TAIL[b]))
+    edge[:] = False
+    edge[offsets[:-1][np.diff(offsets) > 0]] = True
+    edge[at[before & after]] = True
+    return np.flatnonzero(edge[:n])
+
+
+class Ragged:
+    """Arrays of ids in one flat array, gathered by number."""
+
+    def __init__(self):
+        self.flat, self.first, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, flat: np.ndarray, size: np.ndarray) -> None:
+        self.first = np.r_[self.first, len(self.flat) + np.cumsum(size) - size]
+        self.flat, self.size = np.r_[self.flat, flat], np.r_[self.size, size]
+
+    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        size = self.size[numbers]
+        ends = np.cumsum(size)
+        return self.flat[np.repeat(self.first[numbers] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)], size
+
+    def keep(self, numbers: np.ndarray) -> None:
+        flat, size = self.take(numbers)
+        self.__init__()
+        self.add(flat, size)
+
+
 class ByteChunks:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        added = self.library.get_added_tokens_decoder().values()
+        self.added = [t.content for t in added]
         self.size = self.library.get_vocab_size()
         self.model = self.library.model
         self.letters = _letters()
-        self.parts: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
-        self.cuts = self._cuts()
+        self.parts: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}  # of this generation, of the last
+        self.known, self.ids, self.used = pa.array([], pa.large_string()), Ragged(), np.empty(0, np.int64)
+        # an added token inside a chunk is found there as it is in the whole text
+        self.cuts = not any(t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content) for t in added) and self._cuts()
 
     def _whole(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
     def _pre_token(self, part: str) -> bytes:
         """Ids of one pre-token by the library's model, which takes bytes as letters."""
-        return np.array([t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(self.letters))], np.uint32).tobytes()
+        if part.isascii() and part.isprintable():  # a space is the one byte among them that has another letter
+            letters = part.replace(" ", self.letters[32])
+        else:
+            letters = part.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def _cuts(self) -> bool:
         """The boundaries above hold for this vocabulary; else every text goes to the library whole."""
@@ -53,50 +124,80 @@ class ByteChunks:
         cut = [np.frombuffer(self._pre_token(p), np.uint32).tolist() for c in probe for p in _PRE.findall(c)]
         return self._whole("".join(probe)) == list(itertools.chain.from_iterable(cut))
 
-    def _chunk(self, c: str) -> bytes:
-        if not _SIMPLE.fullmatch(c):
-            return np.array(self._whole(c), np.uint32).tobytes()
-        parts, ids = self.parts, b""
-        for p in _PRE.findall(c):
-            got = parts.get(p)
-            if got is None:
-                got = parts[p] = self._pre_token(p)
-            ids += got
-        return ids
-
-    def _fill(self, fresh: list[str]) -> None:
-        if len(self.parts) > CHUNKS // 2:
-            self.parts.clear()
-        for w in fresh:
-            self.known[w] = self._chunk(" " + w)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """uint32 ids of each text, as ``Tokenizer.encode(text, add_special_tokens=False)``."""
-        if len(self.known) > CHUNKS:
-            self.known.clear()
-        split: list[list[str] | None] = []
-        for text in texts:
-            if not self.cuts or _ODD.search(text) or any(a in text for a in self.added):
-                split.append(None)
-            else:
-                split.append(text.split(" "))
-        # chunks but a text's first start with the space that they are known without
-        known = self.known
-        fresh = [w for w in set(itertools.chain.from_iterable(s for s in split if s)) if w not in known]
-        if fresh:
-            self._fill(fresh)
+    def _part_ids(self, parts: list[str]) -> list[bytes]:
+        if len(self.parts[0]) > PARTS:
+            self.parts = {}, self.parts[0]
+        now, last = self.parts
         out = []
-        for text, words in zip(texts, split, strict=True):
-            if words is None:
-                ids = np.array(self._whole(text), np.uint32)
-            elif not text:
-                ids = np.empty(0, np.uint32)
-            else:
-                start = self._chunk(words[0])
-                ids = np.frombuffer(start + b"".join([known[w] for w in words[1:]]), np.uint32)
+        for p in parts:
+            ids = now.get(p)
+            if ids is None:
+                ids = now[p] = last.get(p) or self._pre_token(p)
             out.append(ids)
         return out
 
+    def _learn(self, fresh: list[str]) -> pa.Array:
+        """Adds new chunks to the table, in the order in which they are returned."""
+        simple = [c for c in fresh if _SIMPLE.fullmatch(c) and not any(a in c for a in self.added)]
+        plain = [c for c in simple if c[0] == " "]
+        rest = [c for c in simple if c[0] != " "]  # a text's first chunk
+        odd = [] if len(simple) == len(fresh) else sorted(set(fresh) - set(simple))
+        if plain:  # each chunk starts a pre-token, so all of them are cut in one go
+            parts = _PRE.findall("".join(plain))
+            ids = self._part_ids(parts)
+            ends = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)))
+            owner = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))))
+            size = np.bincount(owner, np.fromiter(map(len, ids), np.int64, len(ids)), len(plain)).astype(np.int64) // 4
+            self.ids.add(np.frombuffer(b"".join(ids), np.uint32), size)
+        if rest or odd:
+            whole = [b"".join(self._part_ids(_PRE.findall(c))) for c in rest] + [array("I", self._whole(c)).tobytes() for c in odd]
+            self.ids.add(np.frombuffer(b"".join(whole), np.uint32), np.fromiter(map(len, whole), np.int64, len(whole)) // 4)
+        made = pa.array(plain + rest + odd, pa.large_string())
+        self.known = pa.concat_arrays([self.known, made])
+        self.used = np.r_[self.used, np.zeros(len(made), np.int64)]
+        return made
+
+    def _forget(self) -> None:
+        best = np.sort(np.argpartition(-self.used, CHUNKS // 2)[: CHUNKS // 2])
+        self.known, self.used = self.known.take(pa.array(best)), self.used[best] // 2
+        self.ids.keep(best)
+
+    def _chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks in a row, and how many each has."""
+        if len(self.known) > CHUNKS:
+            self._forget()
+        base = len(self.known)
+        found = pc.index_in(chunks, value_set=self.known)
+        number = found.fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(number < 0)
+        if len(new):
+            missing = chunks.take(pa.array(new))
+            number[new] = base + pc.index_in(missing, value_set=self._learn(missing.unique().to_pylist())).to_numpy()
+        self.used += np.bincount(number, minlength=len(self.used))
+        return self.ids.take(number)
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """uint32 ids of all texts in a row, and where each text's start (and the last one's end)."""
+        if not self.cuts:
+            whole = [self._whole(t) for t in texts.to_pylist()]
+            return np.array(list(itertools.chain.from_iterable(whole)), np.uint32), np.cumsum([0, *map(len, whole)])
+        data, offsets = buffers(texts)
+        starts = chunk_starts(data, offsets)
+        bounds = np.append(starts, len(data))
+        flat, sizes = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)]
+        for at in range(0, len(starts), AT_ONCE):
+            own = bounds[at : at + AT_ONCE + 1]
+            chunks = pa.Array.from_buffers(pa.large_string(), len(own) - 1, [None, pa.py_buffer(np.ascontiguousarray(own - own[0])), pa.py_buffer(data[own[0] : own[-1]])])
+            ids, size = self._chunk_ids(chunks)
+            flat.append(ids), sizes.append(size)
+        ends = np.cumsum(np.concatenate(sizes))
+        return np.concatenate(flat), ends[np.searchsorted(starts, offsets)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """uint32 ids of each text, as ``Tokenizer.encode(text, add_special_tokens=False)``."""
+        flat, ends = self.encode_array(pa.array(texts, pa.large_string()))
+        return np.split(flat, ends[1:-1]) if texts else []
+
 
 def _letters() -> dict[int, str]:
     """The printable letter that byte-level BPE writes for each byte."""

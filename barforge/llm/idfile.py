@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barforge.llm import bytebpe, scratch
-from barforge.llm.sources import id_text, slices
+from barforge.llm.sources import TOKENIZER_BYTES, id_text, slices
 
 BLOCK_IDS = 65_536
 
@@ -81,15 +81,21 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int | None = 0, id
             return pa.RecordBatch.from_arrays(values, ["shard", "first", "width", "payload", "doc_ids", "lengths"])
 
         size = 0
-        for batch in slices(batches):
-            for i, ids in enumerate(own.encode(batch.column("text").to_pylist())):
-                held += [ids, tail]
-                keys.append(batch.column("doc_id").slice(i, 1))
-                lengths.append(len(ids) + len(tail))
-                size += lengths[-1]
+        for batch in slices(batches, most=TOKENIZER_BYTES, rows=65_536):
+            flat, ends = own.encode_array(batch.column("text"))
+            if len(tail):
+                flat, ends = np.insert(flat, ends[1:], tail[0]), ends + np.arange(len(ends))
+            done = 0  # documents of this slice that are in a block
+            while done < batch.num_rows:
+                upto = min(batch.num_rows, done + 1 + int(np.searchsorted(ends[done + 1 :], ends[done] + BLOCK_IDS - size)))
+                held.append(flat[ends[done] : ends[upto]])
+                keys.append(batch.column("doc_id").slice(done, upto - done))
+                lengths += np.diff(ends[done : upto + 1]).tolist()
+                size += len(held[-1])
                 if size >= BLOCK_IDS:
                     yield block()
                     first, size, held, keys, lengths = first + size, 0, [], [], []
+                done = upto
         if keys:
             yield block()
 

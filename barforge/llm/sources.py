@@ -6,11 +6,15 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Python stages hold at most this much text at a time, or one document where that is longer.
 SLICE_BYTES = 1 << 19
+#: Tokenizers look a slice's chunks up at once; their arrays take a few bytes for each byte of text.
+TOKENIZER_BYTES = 4 << 20
+#: A slice has so many rows at most, whatever their length.
+SLICE_ROWS = 2048
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,20 +26,15 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in runs of about ``most`` bytes of ``column``."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in runs of about ``most`` bytes of ``column`` and at most ``rows`` rows."""
     for batch in batches:
         lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         start = held = 0
         for i, n in enumerate(lengths):
-            if held and held + n > most:
+            if i > start and (held + n > most or i - start >= rows):
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += n
         if start < len(lengths):
             yield batch.slice(start)
-
-
-def no_words(text: Column) -> Column:
-    """Splits on the six ASCII white-space characters; empty strings may lead and trail."""
-    return F.split(text, "[\\x20\\x09-\\x0D]+")
