@@ -4,7 +4,8 @@ Every window of ``WINDOW`` bytes has an entropy level. Levels are ranked by how
 the whole corpus, counted in one aggregation, so that the rarest level comes first; windows under
 ``LEAST_LEVEL`` (runs, padding) never count. In each run of ``RUN`` windows the leftmost of the
 best rank is favoured, and windows favoured ``FAVOURED`` times or more are the text's features. A
-text without such a window has its best window as a feature, one shorter than a window itself.
+text without such a window has its best window and ``SPREAD`` more, at even distances, as features;
+one shorter than a window is its own feature.
 Features, in order of place, set ``HASHES`` bits each in a chain of Bloom filters of ``BITS`` bits,
 ``PER_FILTER`` features to a filter. The fingerprint is the chain in base64, "" for an empty text.
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barforge.llm import scratch
-from barforge.llm.shingles import _power, buffers, mix
+from barforge.llm.shingles import _BASE, SEGMENT, buffers, mix
 from barforge.llm.sources import id_text, slices
 
 WINDOW = 16
@@ -40,6 +41,8 @@ HASHES = 5
 PER_FILTER = 128
 #: Share of the way from chance to full overlap that unrelated filters may reach.
 CHANCE = 0.1
+#: Windows that a text without features is known by, besides its best one.
+SPREAD = 16
 SLICE = 1 << 20
 
 _SCALE = 1 << 20
@@ -68,21 +71,22 @@ def levels(data: np.ndarray) -> np.ndarray:
     return (_FULL - total) * (LEVELS - 1) // _FULL
 
 
-def _valid(offsets: np.ndarray, span: int, n: int) -> np.ndarray:
-    """Whether ``span`` bytes from a place on lie in one text."""
-    end = np.repeat(offsets[1:], np.diff(offsets))[:n]
-    return np.arange(n) + span <= end
+def _ends(offsets: np.ndarray, first: int, n: int) -> np.ndarray:
+    """Where the text of each of ``n`` bytes from ``first`` on ends."""
+    return offsets[np.searchsorted(offsets, np.arange(first, first + n), side="right")]
 
 
 def histogram(rows: DataFrame) -> np.ndarray:
-    """Windows of each entropy level over all texts."""
+    """Windows of each entropy level over all texts; null and empty texts have none, repeated rows count again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(LEVELS, np.int64)
         for batch in slices(batches, most=SLICE):
-            data, offsets = buffers(batch.column("text"))
-            found = levels(data)
-            seen += np.bincount(found[_valid(offsets, WINDOW, len(found))], minlength=LEVELS)
+            data, offsets = buffers(batch.column("text").fill_null(""))
+            for low in range(0, len(data), SEGMENT):
+                found = levels(data[low : low + SEGMENT + WINDOW - 1])
+                whole = np.arange(low, low + len(found)) + WINDOW <= _ends(offsets, low, len(found))
+                seen += np.bincount(found[whole], minlength=LEVELS)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(LEVELS), pa.int32()), pa.array(seen)], ["level", "n"])
 
     out = np.zeros(LEVELS, np.int64)
@@ -106,41 +110,62 @@ class Ranks:
         return cls(ranks)
 
 
-def filters(texts: pa.Array, ranks: Ranks) -> list[np.ndarray]:
-    """The chain of each text: a row of ``BITS // 8`` bytes for each filter."""
-    data, offsets = buffers(texts)
-    n, count = len(data), len(offsets) - 1
-    owners, places, sizes = [], [], []
-    found = levels(data)
-    m = len(found)
-    favoured = np.zeros(n, np.int64)
-    if m:
-        rank = np.where(_valid(offsets, WINDOW, m), ranks.of_level[found], 2 * _WORST)
-        best = (rank << 40) | np.arange(m)
+def _ranked(data: np.ndarray, offsets: np.ndarray, ranks: Ranks, first: int, last: int) -> np.ndarray:
+    """Ranks of the windows from ``first`` to ``last``; those that leave their text come after all others."""
+    found = levels(data[first : last + WINDOW - 1])
+    return np.where(np.arange(first, first + len(found)) + WINDOW <= _ends(offsets, first, len(found)), ranks.of_level[found], 2 * _WORST)
+
+
+def _features(data: np.ndarray, offsets: np.ndarray, ranks: Ranks) -> np.ndarray:
+    """Places of the windows that are favoured often enough, a segment at a time."""
+    n, out = len(data), [np.empty(0, np.int64)]
+    for low in range(0, n, SEGMENT):
+        high = min(n, low + SEGMENT)
+        first = max(0, low - RUN + 1)  # a run that holds a window of the segment starts here or later
+        rank = _ranked(data, offsets, ranks, first, min(n, high + RUN - 1))
+        best = (rank << 40) | np.arange(len(rank))
         width = 1
         while width < RUN and len(best) > width:  # least key of each run, doubling
             best = np.minimum(best[:-width], best[width:])
             width *= 2
         if width == RUN:
-            inside = _valid(offsets, WINDOW + RUN - 1, len(best))
-            favoured[: m] = np.bincount(best[inside] & ((1 << 40) - 1), minlength=m)
-        feature = np.flatnonzero((favoured[:m] >= FAVOURED) & (rank < _WORST))
-    else:
-        rank, feature = np.empty(0, np.int64), np.empty(0, np.int64)
+            inside = np.arange(first, first + len(best)) + WINDOW + RUN - 1 <= _ends(offsets, first, len(best))
+            favoured = np.bincount(best[inside] & ((1 << 40) - 1), minlength=len(rank))
+            places = first + np.flatnonzero((favoured >= FAVOURED) & (rank < _WORST))
+            out.append(places[(places >= low) & (places < high)])
+    return np.concatenate(out)
+
+
+def _plain_features(data: np.ndarray, offsets: np.ndarray, ranks: Ranks, a: int, b: int) -> list[int]:
+    """Places in a text without features: its leftmost window of the best rank, and windows spread over it."""
+    least, at = None, a
+    for low in range(a, b - WINDOW + 1, SEGMENT):
+        rank = _ranked(data, offsets, ranks, low, min(b - WINDOW + 1, low + SEGMENT))
+        if least is None or rank.min() < least:
+            least, at = rank.min(), low + int(rank.argmin())
+    return sorted({at, *(a + k * (b - a - WINDOW) // SPREAD for k in range(SPREAD + 1))})
+
+
+def filters(texts: pa.Array, ranks: Ranks) -> list[np.ndarray]:
+    """The chain of each text: a row of ``BITS // 8`` bytes for each filter; none for an empty text."""
+    data, offsets = buffers(texts)
+    count = len(offsets) - 1
+    feature = _features(data, offsets, ranks)
     owner = np.searchsorted(offsets, feature, side="right") - 1
     with_one = np.bincount(owner, minlength=count) > 0
-    owners.append(owner), places.append(feature), sizes.append(np.full(len(feature), WINDOW))
+    owners, places, sizes = [owner], [feature], [np.full(len(feature), WINDOW)]
     for i in np.flatnonzero(~with_one & (np.diff(offsets) > 0)).tolist():
         a, b = int(offsets[i]), int(offsets[i + 1])
-        at = a + int(np.argmin(rank[a : b - WINDOW + 1])) if b - a >= WINDOW else a
-        owners.append(np.array([i])), places.append(np.array([at])), sizes.append(np.array([min(WINDOW, b - a)]))
+        at = _plain_features(data, offsets, ranks, a, b) if b - a >= WINDOW else [a]
+        owners.append(np.full(len(at), i)), places.append(np.array(at)), sizes.append(np.full(len(at), min(WINDOW, b - a)))
     owner, place, size = np.concatenate(owners), np.concatenate(places).astype(np.int64), np.concatenate(sizes)
     order = np.argsort(owner, kind="stable")
     owner, place, size = owner[order], place[order], size[order]
-    power, inverse = _power(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[:n], out=total[1:])
-    value = mix((total[place + size] - total[place]) * inverse[place] + size.astype(np.uint64))
+    value, power = size.astype(np.uint64), np.uint64(1)
+    for k in range(WINDOW):
+        value += np.where(k < size, _BYTE[data[np.minimum(place + k, len(data) - 1)]] * power if len(data) else np.uint64(0), np.uint64(0))
+        power = np.uint64(int(power) * int(_BASE) & (1 << 64) - 1)
+    value = mix(value)
     per = np.bincount(owner, minlength=count)
     chain = -(-per // PER_FILTER)
     first_filter, first_feature = np.cumsum(chain) - chain, np.cumsum(per) - per
@@ -168,20 +193,26 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
         return 0.0
     if len(a) > len(b):
         a, b = b, a
-    other = np.unpackbits(b, axis=1).astype(np.float32)
-    ones_b, total = other.sum(1), 0.0
+    total = 0.0
     for at in range(0, len(a), 64):
         own = np.unpackbits(a[at : at + 64], axis=1).astype(np.float32)
-        ones_a = own.sum(1)
-        most = np.minimum(ones_a[:, None], ones_b[None, :])
-        chance = ones_a[:, None] * ones_b[None, :] / BITS
-        chance = chance + CHANCE * (most - chance)
-        total += float(np.clip((own @ other.T - chance) / np.maximum(most - chance, 1e-9), 0, 1).max(1).sum())
+        ones_a, best = own.sum(1), np.zeros(len(own))
+        for to in range(0, len(b), 1024):
+            other = np.unpackbits(b[to : to + 1024], axis=1).astype(np.float32)
+            ones_b = other.sum(1)
+            most = np.minimum(ones_a[:, None], ones_b[None, :])
+            chance = ones_a[:, None] * ones_b[None, :] / BITS
+            chance = chance + CHANCE * (most - chance)
+            best = np.maximum(best, np.clip((own @ other.T - chance) / np.maximum(most - chance, 1e-9), 0, 1).max(1))
+        total += float(best.sum())
     return min(1.0, total / len(a))
 
 
 def fingerprints(docs: DataFrame, ranks: Ranks, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint`` of each row's whole text; a null text counts as empty."""
+    """``doc_id, fingerprint`` of each row's whole text; a null text counts as empty, whose fingerprint is "".
+
+    Repeated rows are returned one by one, an empty table gives an empty result, other columns are not looked at.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=SLICE):
@@ -193,7 +224,7 @@ def fingerprints(docs: DataFrame, ranks: Ranks, id_col: str = "doc_id", text_col
 
 
 def with_next(docs: DataFrame, step, schema: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``step(ids, texts, next_texts)`` over runs of rows in descending (long) id order, each with the next one's text.
+    """``step(ids, texts, next_texts)`` over runs of rows in descending id order (whole numbers), each with the next one's text.
 
     After the last row comes the first. Rows of one id are in the order of their texts, null ids
     are last. Texts are shuffled once: ranges of ids are dealt to tasks, and the first document of
@@ -250,7 +281,7 @@ def with_next(docs: DataFrame, step, schema: str, id_col: str = "doc_id", text_c
         texts = [t for _, _, t in held]
         return step([i for _, i, _ in held], texts, [*texts[1:], after])
 
-    moved = rows.mapInArrow(deal, "part int, late byte, doc_id long, text string").repartition(parts, "part").sortWithinPartitions("part", "late", F.col("doc_id").desc_nulls_last(), "text")
+    moved = rows.mapInArrow(deal, "part int, late byte, doc_id long, text string").repartitionById(len(cuts) + 1, "part").sortWithinPartitions("part", "late", F.col("doc_id").desc_nulls_last(), "text")
     return moved.mapInArrow(run, schema)
 
 

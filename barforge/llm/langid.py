@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barforge.llm import scratch
-from barforge.llm.shingles import buffers
+from barforge.llm.shingles import SEGMENT, buffers
 from barforge.llm.sources import slices
 
 BUCKETS = 4096
@@ -41,16 +41,22 @@ def trigram_counts(texts: pa.Array) -> np.ndarray:
     """Counts of hashed trigrams of folded bytes, a row for each text; runs of other bytes are one space."""
     data, offsets = buffers(texts)
     n = len(offsets) - 1
-    folded = _FOLD[data]
-    owner = np.repeat(np.arange(n), np.diff(offsets))
-    keep = np.ones(len(folded), bool)
-    keep[1:] = (folded[1:] != 32) | (folded[:-1] != 32) | (owner[1:] != owner[:-1])
-    d, owner = folded[keep], owner[keep]
-    if len(d) < 3:
-        return np.zeros((n, BUCKETS), np.int64)
-    code = ((d[:-2] * np.uint32(0x9E3779B1)) ^ (d[1:-1] * np.uint32(0x85EBCA77)) ^ (d[2:] * np.uint32(0xC2B2AE3D))) * np.uint32(0x27D4EB2F) >> np.uint32(20)
-    inside = owner[:-2] == owner[2:]
-    return np.bincount(owner[:-2][inside] * BUCKETS + code[inside], minlength=n * BUCKETS).reshape(n, BUCKETS)
+    out = np.zeros(n * BUCKETS, np.int64)
+    last, last_owner = np.empty(0, np.uint32), np.empty(0, np.int64)  # the last two that the segments before kept
+    for low in range(0, len(data), SEGMENT):
+        folded = _FOLD[data[low : low + SEGMENT]]
+        owner = np.searchsorted(offsets, np.arange(low, low + len(folded)), side="right") - 1
+        before, owner_before = np.r_[last[-1:], folded], np.r_[last_owner[-1:], owner]
+        keep = np.ones(len(before), bool)
+        keep[1:] = (before[1:] != 32) | (before[:-1] != 32) | (owner_before[1:] != owner_before[:-1])
+        keep = keep[len(before) - len(folded) :]
+        d, owner = np.r_[last, folded[keep]], np.r_[last_owner, owner[keep]]
+        if len(d) > 2:
+            code = ((d[:-2] * np.uint32(0x9E3779B1)) ^ (d[1:-1] * np.uint32(0x85EBCA77)) ^ (d[2:] * np.uint32(0xC2B2AE3D))) * np.uint32(0x27D4EB2F) >> np.uint32(20)
+            inside = owner[:-2] == owner[2:]
+            out += np.bincount(owner[:-2][inside] * BUCKETS + code[inside], minlength=n * BUCKETS)
+        last, last_owner = d[-2:], owner[-2:]
+    return out.reshape(n, BUCKETS)
 
 
 @dataclass(frozen=True)
@@ -70,12 +76,12 @@ class TextModel:
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> TextModel:
     """Trigram frequencies of each language over all documents with a language and a text.
 
-    Raises ValueError if there are none.
+    Without any, the model has the one language "und".
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
-        for batch in slices(batches, most=1 << 20):
+        for batch in slices(batches, rows=256):
             counts = trigram_counts(batch.column("text"))
             names = np.array(batch.column("lang").to_pylist())
             for name in np.unique(names).tolist():
@@ -87,9 +93,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Te
     rows = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
     # BUCKETS rows for each language
     got = rows.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
-    if not got:
-        raise ValueError("no document tells its language")
-    languages = tuple(sorted({r.lang for r in got}))
+    languages = tuple(sorted({r.lang for r in got})) or ("und",)
     counts = np.full((BUCKETS, len(languages)), 0.5)
     for r in got:
         counts[r.bucket, languages.index(r.lang)] += r.n
@@ -97,7 +101,11 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Te
 
 
 def evidence(pages: DataFrame, model: TextModel, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``page_id, host, domain, declared, suffix, p`` (text posteriors in the order of the model's languages)."""
+    """``page_id, host, domain, declared, suffix, p`` (text posteriors in the order of the model's languages).
+
+    What a page does not tell is "", nulls included; a page without trigrams has equal posteriors.
+    Rows that repeat are returned one by one, other columns are not looked at.
+    """
     html, url = F.coalesce(F.col(html_col), F.lit("")), F.coalesce(F.col(url_col), F.lit(""))
     text = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " "), r"&#?\w{1,8};", " ")
     host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", 1))
@@ -113,7 +121,7 @@ def evidence(pages: DataFrame, model: TextModel, id_col: str = "page_id", url_co
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=1 << 20):
+        for batch in slices(batches, rows=256):
             p = model.posteriors(batch.column("text"))
             flat = pa.FixedSizeListArray.from_arrays(pa.array(p.ravel()), p.shape[1]).cast(pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], flat], [*batch.schema.names[:-1], "p"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,9 +13,11 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset (tests), a temporary one."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset, a temporary one, which only a local session may have."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
         found = "file://" + tempfile.mkdtemp(prefix="barforge-")
         spark.conf.set("spark.checkpoint.dir", found)
         _written.append((spark, found))
@@ -34,6 +37,22 @@ def write(df: DataFrame, name: str) -> str:
     return path
 
 
+@contextmanager
+def passing(spark: SparkSession):
+    """A ``table`` whose folders go at the end: for steps that nothing later reads."""
+    paths: list[str] = []
+
+    def passing_table(df: DataFrame, name: str) -> DataFrame:
+        paths.append(write(df, name))
+        return read(spark, paths[-1])
+
+    try:
+        yield passing_table
+    finally:
+        for path in paths:
+            delete(spark, path)
+
+
 def keep(spark: SparkSession, path: str) -> None:
     """``path`` stays for as long as this program runs."""
     _written.append((spark, path))

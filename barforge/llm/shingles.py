@@ -1,4 +1,4 @@
-"""Sets of word shingles as 64-bit hashes, computed from Arrow buffers a slice of texts at a time."""
+"""Sets of word shingles as 64-bit hashes, computed from Arrow buffers a window of bytes at a time."""
 
 from __future__ import annotations
 
@@ -14,7 +14,9 @@ for _c in range(65, 91):  # A-Z count as a-z
     _BYTE[_c] = _BYTE[_c + 32]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Bytes that are hashed at once; what they need is some 50 times as much.
+SEGMENT = 1 << 18
+_powers: list[np.ndarray] = []
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -25,13 +27,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, _BASE_INVERSE)):
-            run = np.full(n, base, np.uint64)
+def _power() -> list[np.ndarray]:
+    """Powers of the base and of its inverse, up to a segment's length."""
+    if not _powers:
+        for base in (_BASE, _BASE_INVERSE):
+            run = np.full(SEGMENT + 1, base, np.uint64)
             run[0] = _ONE
-            _powers[k] = np.multiply.accumulate(run)
-    return _powers[0], _powers[1]
+            _powers.append(np.multiply.accumulate(run))
+    return _powers
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -45,21 +48,42 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words (A-Z in lower case), and for each text the place of its first word."""
+    """Hashes of all words (A-Z in lower case), and for each text the place of its first word.
+
+    A word's hash is the mixed sum of its bytes' values times powers of the base, so a word that
+    goes on behind a segment is put together from its parts.
+    """
     data, offsets = buffers(texts)
     n = len(data)
     if not n:
         return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
-    inside = ~_SPACE[data]
-    edge = np.zeros(n + 1, bool)
-    edge[offsets] = True
-    starts = np.flatnonzero(inside & np.r_[True, ~inside[:-1] | edge[1:-1]])
-    ends = np.flatnonzero(inside & np.r_[~inside[1:] | edge[1:-1], True]) + 1
-    power, inverse = _power(n + 1)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE[data] * power[:n], out=total[1:])
-    hashes = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
-    return hashes, np.searchsorted(starts, offsets)
+    power, inverse = _power()
+    hashes, begins = [], []
+    value_before, length_before, begun = 0, 0, -1  # of a word that the last segment did not end
+    for low in range(0, n, SEGMENT):
+        part = data[low : low + SEGMENT]
+        m = len(part)
+        cut = np.zeros(m + 1, bool)
+        cut[offsets[slice(*np.searchsorted(offsets, [low, low + m + 1]))] - low] = True
+        inside = ~_SPACE[part]
+        starts = np.flatnonzero(inside & np.r_[True, ~inside[:-1] | cut[1:-1]])
+        ends = np.flatnonzero(inside & np.r_[~inside[1:] | cut[1:-1], True]) + 1
+        total = np.zeros(m + 1, np.uint64)
+        np.cumsum(_BYTE[part] * power[:m], out=total[1:])
+        value = (total[ends] - total[starts]) * inverse[starts]
+        length = ends - starts
+        place = low + starts
+        if begun >= 0:
+            factor = pow(int(_BASE), length_before, 1 << 64)
+            value[0] = np.uint64((value_before + factor * int(value[0])) & (1 << 64) - 1)
+            length[0] += length_before
+            place[0], begun = begun, -1
+        if inside[-1] and not cut[m] and not _SPACE[data[low + m]]:  # the end of the data is a cut
+            value_before, length_before, begun = int(value[-1]), int(length[-1]), int(place[-1])
+            value, length, place = value[:-1], length[:-1], place[:-1]
+        hashes.append(mix(value + length.astype(np.uint64)))
+        begins.append(place)
+    return np.concatenate(hashes), np.searchsorted(np.concatenate(begins), offsets)
 
 
 def sets(texts: pa.Array, size: int) -> list[np.ndarray]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,6 +17,8 @@ TOKENIZER_BYTES = 4 << 20
 #: A slice has so many rows at most, whatever their length.
 SLICE_ROWS = 2048
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,3 +41,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             held += n
         if start < len(lengths):
             yield batch.slice(start)
+        del batch
+        _give_back()
+
+
+def _give_back() -> None:
+    """Memory that the allocators hold for later: a worker that waits should not keep it."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)

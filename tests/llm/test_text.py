@@ -86,8 +86,66 @@ def test_votes_hold_out(spark, edge):
     assert knn.score(edge.limit(0), model).count() == 0
     learnt = learnt_labels(spark, SMALL)
     assert learnt.where(held_out()).count() == 0
-    with pytest.raises(ValueError):
-        knn.fit(edge.limit(0), learnt)
+    blank = knn.fit(edge.limit(0), learnt)  # no label has a document
+    assert {r.score for r in knn.score(edge, blank).collect()} == {knn.UNKNOWN} and knn.keep(edge, blank, 0.7).count() == edge.count()
+    assert knn.score(edge.limit(0), blank).count() == 0
+
+
+def test_scores_do_not_depend_on_the_batch():
+    rng = np.random.default_rng(1)
+    counts = rng.random((500, knn.BUCKETS + knn.SHAPES)).astype(np.float32)
+    model = knn.fit_matrix(counts[:200], rng.integers(0, 2, 200))
+    together = model.score(counts[200:].copy())
+    assert (together == np.concatenate([model.score(counts[i : i + 1].copy()) for i in range(200, 500)])).all()
+    assert (together == np.concatenate([model.score(counts[200:237].copy()), model.score(counts[237:].copy())])).all()
+
+
+def test_repeated_labels_and_documents(spark):
+    docs = spark.createDataFrame([(i % 20, f"text {i % 3} number {i}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i % 20, i % 2) for i in range(45)] + [(None, 1), (3, None), (99, 1)], "doc_id long, label int")
+    assert len(knn.fit(docs, labels).labels) == 20
+
+
+def test_long_texts_are_cut_into_segments(monkeypatch):
+    from barforge.llm import shingles
+
+    texts = pa.array(["a b  c " * 40, "", "x" * 500, " ", "é漢 " * 60 + "y" * 70, "ab" * 80, "q"])
+    want = [shingles.sets(texts, 2), langid.trigram_counts(texts), knn.term_counts(texts), digest.filters(texts, digest.Ranks.by_rarity(np.arange(digest.LEVELS)))]
+    monkeypatch.setattr(shingles, "SEGMENT", 23)
+    monkeypatch.setattr(shingles, "_powers", [])
+    monkeypatch.setattr(langid, "SEGMENT", 23)
+    monkeypatch.setattr(digest, "SEGMENT", 23)
+    assert all((a == b).all() for a, b in zip(shingles.sets(texts, 2), want[0], strict=True))
+    assert (langid.trigram_counts(texts) == want[1]).all() and (knn.term_counts(texts) == want[2]).all()
+    assert all((a == b).all() for a, b in zip(digest.filters(texts, digest.Ranks.by_rarity(np.arange(digest.LEVELS))), want[3], strict=True))
+
+
+def test_fingerprint_by_brute_force(words):
+    """Features found window by window, run by run, and set bit by bit."""
+    ranks = digest.Ranks.by_rarity(np.random.default_rng(2).integers(0, 1000, digest.LEVELS))
+    for text in (words(60, 3), words(200, 4) + " " * 40 + words(30, 5), "ab" * 40, "abc", ""):
+        data = text.encode()
+        entropy = []
+        for i in range(len(data) - digest.WINDOW + 1):
+            c = [data[i : i + digest.WINDOW].count(b) for b in set(data[i : i + digest.WINDOW])]
+            entropy.append((digest._FULL - sum(int(digest._TERM[k]) for k in c)) * (digest.LEVELS - 1) // digest._FULL)
+        rank = [int(ranks.of_level[e]) for e in entropy]
+        favoured = [0] * len(rank)
+        for i in range(len(rank) - digest.RUN + 1):
+            favoured[min(range(i, i + digest.RUN), key=lambda j: (rank[j], j))] += 1
+        places = [i for i, n in enumerate(favoured) if n >= digest.FAVOURED and rank[i] < digest._WORST]
+        if not places and data:
+            last = len(data) - digest.WINDOW
+            places = sorted({min(range(last + 1), key=lambda j: (rank[j], j)), *(k * last // digest.SPREAD for k in range(digest.SPREAD + 1))}) if last >= 0 else [0]
+        chain = np.zeros((-(-len(places) // digest.PER_FILTER), digest.BITS), bool)
+        for n, i in enumerate(places):
+            part = data[i : i + digest.WINDOW]
+            value = sum(int(digest._BYTE[b]) * pow(int(digest._BASE), k, 1 << 64) for k, b in enumerate(part)) + len(part) & (1 << 64) - 1
+            value = int(digest.mix(np.array([value], np.uint64))[0])
+            for k in range(digest.HASHES):
+                chain[n // digest.PER_FILTER, value >> 11 * k & digest.BITS - 1] = True
+        got = digest.filters(pa.array([text]), ranks)[0]
+        assert (got == np.packbits(chain, axis=1, bitorder="little")).all()
 
 
 def test_cosines_are_exact():
@@ -115,8 +173,8 @@ def test_languages(spark):
     assert len(got) == len(rows) and all(by[k].lang == "de" for k in range(6)) and by[12].lang == "de"  # the host decides
     assert (by[13].lang, by[13].host, by[13].declared, by[13].suffix) == ("en", "b.example.org", "en", "/en")
     assert langid.identify(pages.limit(0), model).count() == 0
-    with pytest.raises(ValueError):
-        langid.train(spark.read.parquet(f"{SMALL}/documents.parquet").limit(0))
+    nothing = langid.train(spark.read.parquet(f"{SMALL}/documents.parquet").limit(0))
+    assert {(r.lang, r.score) for r in langid.identify(pages, nothing).collect()} == {("und", 1.0)}
 
 
 def test_page_languages_agree_with_markup(spark):
