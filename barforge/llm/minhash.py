@@ -10,7 +10,11 @@
 4. Buckets whose members are in one component by now are settled. In the others all members of
    different components are compared on full sets, in blocks: the members of the largest component
    and the rest are dealt to blocks of bounded size, each block of the rest meets every block.
-   Only links that join two components leave a task, never more than it has members.
+   Only links that join two components leave a task, never more than it has members. A bucket of
+   more than two blocks is first divided by rare shingles: of a set of ``n`` that needs ``t`` shared
+   shingles, a partner of another component shares one of the ``m - t + 1`` rarest among the ``m``
+   that occur in several components. Only members under the same rare shingle are compared, so a
+   passage that many texts share without being alike brings none of them together.
 
 The chance that two texts of similarity 0.8 share no band is (1 - 0.8**6)**48, under 5e-7.
 """
@@ -121,77 +125,128 @@ def _cross_links(threshold: int):
     return run
 
 
+def _plan(at: DataFrame) -> DataFrame:
+    """``band, major, nb_major, nb_minor``: largest component and numbers of blocks of each bucket of several components.
+
+    Of buckets with the same members, one is returned.
+    """
+    mixed = at.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("k"), F.sum(F.xxhash64("rep").cast("decimal(20)")).alias("s"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x")).where("c < d")
+    open_ = mixed.groupBy("k", "s", "x").agg(F.min("band").alias("band"))
+    counted = at.join(open_.select("band"), "band", "left_semi").groupBy("band", "component").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
+    blocks = lambda k, n: F.greatest(F.lit(1), F.ceil(k / BLOCK_MEMBERS), F.ceil(n / BLOCK_SHINGLES)).cast("int")
+    plan = counted.groupBy("band").agg(F.max_by("component", "k").alias("major"), F.max("k").alias("mk"), F.max_by("n", "k").alias("mn"), F.sum("k").alias("k"), F.sum("n").alias("n"))
+    return plan.select("band", "major", blocks(F.col("mk"), F.col("mn")).alias("nb_major"), blocks(F.col("k") - F.col("mk"), F.col("n") - F.col("mn")).alias("nb_minor"))
+
+
+def _rare(members: DataFrame, values: DataFrame, threshold: int) -> DataFrame:
+    """``band, rep, n, component`` of members under each of their rarest shingles (``band``), as step 4 says."""
+    spread = values.withColumnRenamed("id", "rep").join(members, "rep").select("rep", "component", F.size("values").alias("n"), F.explode("values").alias("v"))
+    shared = spread.groupBy("v").agg(F.count("*").alias("f"), F.min("component").alias("c"), F.max("component").alias("d")).where("c < d").select("v", "f")
+    held = spread.join(shared, "v").groupBy("rep", "component", "n").agg(F.sort_array(F.collect_list(F.struct("f", "v"))).alias("s"))  # at most a set's size
+    first = F.size("s") - F.expr(f"({threshold} * n + 99) div 100").cast("int") + 1
+    return held.where(first > 0).select("rep", "component", F.col("n").cast("long").alias("n"), F.explode(F.transform(F.slice("s", 1, F.greatest(first, F.lit(1))), lambda x: x["v"])).alias("band"))
+
+
+def _compared(at: DataFrame, plan: DataFrame, values: DataFrame, threshold: int) -> DataFrame:
+    """Links ``a, b`` between members of different components, block by block of each planned bucket."""
+    dealt = at.join(_small(plan, plan.count()), "band").withColumn("minor", F.col("component") != F.col("major"))
+    i = F.pmod(F.xxhash64("rep"), F.when(F.col("minor"), F.col("nb_minor")).otherwise(F.col("nb_major"))).cast("int")
+    # a group is a block x of the rest with block y: of the rest from 0 on, of the largest from -1 down
+    of_minor = F.concat(
+        F.transform(F.sequence(F.lit(0), F.col("nb_minor") - 1), lambda j: F.struct(F.least(i, j).alias("x"), F.greatest(i, j).alias("y"))),
+        F.transform(F.sequence(F.lit(1), F.col("nb_major")), lambda j: F.struct(i.alias("x"), (-j).alias("y"))),
+    )
+    of_major = F.transform(F.sequence(F.lit(0), F.col("nb_minor") - 1), lambda j: F.struct(j.alias("x"), (-i - 1).alias("y")))
+    spread = dealt.select("band", "rep", "component", "minor", F.explode(F.when(F.col("minor"), of_minor).otherwise(of_major)).alias("g")).select("band", "g.x", "g.y", "rep", "component", "minor")
+    kind = values.schema["id"].dataType.simpleString()
+    return spread.join(values.withColumnRenamed("id", "rep"), "rep").groupBy("band", "x", "y").applyInPandas(_cross_links(threshold), f"a {kind}, b {kind}")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of each row, for shingles of ``size`` words.
 
     Texts are linked from a Jaccard similarity of ``threshold`` percent on. Words are runs of
     anything but ASCII white space, A-Z in lower case. A text without words (null, empty, blank) is
     linked with nothing. ``component_id`` is the least id reachable, ``kept`` tells whether it is
-    the row's own. Ids should be unique: rows that repeat an id are returned one by one, each with
-    its own text's component. A null id gets its text's component, or keeps the row if there is
-    none. An empty table gives an empty result; other columns are not looked at.
+    the row's own. Ids may be null, repeated or of any type that can be ordered: rows are then
+    numbered in the order of their ids, nulls last, and linked by number, so each row has its own
+    text's component; of a component without any id the first row is kept. An empty table gives an
+    empty result; other columns are not looked at.
     """
     rows = id_text(docs, id_col, text_col)
-    return _judged(rows, scratch.table(signatures(rows, size), "minhash-signatures"), size, threshold)
+    signed = scratch.table(signatures(rows, size), "minhash-signatures")
+    if _names_rows(signed):
+        return _judged(rows, signed, size, threshold)
+    numbered = _numbered(rows, "doc_id")
+    texts = numbered.select(F.col("__row").alias("doc_id"), "text")
+    judged = _judged(texts, scratch.table(signatures(texts, size), "minhash-signatures"), size, threshold)
+    name = lambda row, of: numbered.select(F.col("__row").alias(row), F.col("doc_id").alias(of))
+    named = judged.withColumnRenamed("doc_id", "row").join(name("row", "doc_id"), "row").join(name("component_id", "component"), "component_id")
+    kept = F.coalesce(F.col("doc_id") == F.col("component"), F.col("component").isNull() & F.col("kept"))
+    return named.select("doc_id", "n_shingles", F.col("component").alias("component_id"), kept.alias("kept"))
+
+
+def _names_rows(signed: DataFrame) -> bool:
+    """Whether each id is a number that stands for one row."""
+    if signed.schema["doc_id"].dataType.typeName() not in ("long", "integer", "short", "byte"):
+        return False
+    return signed.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty()
+
+
+def _numbered(docs: DataFrame, id_col: str) -> DataFrame:
+    """``docs`` with ``__row``, a number that follows the order of ids, nulls last; written, so that it stays."""
+    order = docs.orderBy(F.col(id_col).asc_nulls_last(), F.monotonically_increasing_id())
+    return scratch.table(order.withColumn("__row", F.monotonically_increasing_id()), "minhash-numbered")
 
 
 def _judged(rows: DataFrame, signed: DataFrame, size: int, threshold: int) -> DataFrame:
-    nodes = scratch.table(signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")).where("rep is not null"), "minhash-nodes")
-    banded = nodes.select("rep", "n", F.explode("bands").alias("band"))
+    """``near_duplicates`` of rows whose ids are unique numbers."""
+    nodes = scratch.table(signed.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "minhash-nodes")
+    with scratch.passing(rows.sparkSession) as table:
+        components = _components(rows, nodes, size, threshold, table)
+    of_node = nodes.select("digest", "rep").join(components.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
+    out = signed.select("doc_id", "n_shingles", "digest").join(of_node, "digest", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
 
-    shared = scratch.table(banded.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi"), "minhash-buckets")
-    members = scratch.table(banded.join(_small(shared, shared.count()), "band"), "minhash-members")
+def _components(rows: DataFrame, nodes: DataFrame, size: int, threshold: int, table) -> DataFrame:
+    """``id, component`` of the nodes that are linked with others; ``table`` writes what later steps do not read."""
+    banded = nodes.select("rep", "n", F.explode("bands").alias("band"))
+    shared = table(banded.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi"), "minhash-buckets")
+    members = table(banded.join(_small(shared, shared.count()), "band"), "minhash-members")
     partner = members.select("rep", F.explode(F.array("lo", "hi")).alias("other")).where("rep <> other").groupBy("rep", "other").count()
     best = partner.groupBy("rep").agg(F.max_by("other", F.struct("count", "other")).alias("p"), F.max_by("other", F.struct("count", -F.col("other"))).alias("q"))
     pairs = best.select(F.explode(F.array_distinct(F.array("p", "q"))).alias("o"), "rep").select(F.least("rep", "o").alias("a"), F.greatest("rep", "o").alias("b")).distinct()
 
-    involved = scratch.table(members.select(F.col("rep").alias("doc_id")).distinct(), "minhash-involved")
-    values = scratch.table(_sets(rows.join(_small(involved, involved.count()), "doc_id", "left_semi"), size), "minhash-sets")
+    involved = table(members.select(F.col("rep").alias("doc_id")).distinct(), "minhash-involved")
+    values = table(_sets(rows.join(_small(involved, involved.count()), "doc_id", "left_semi"), size), "minhash-sets")
     left, right = values.select(F.col("id").alias("a"), F.col("values").alias("va")), values.select(F.col("id").alias("b"), F.col("values").alias("vb"))
     both = F.size(F.array_intersect("va", "vb"))
     links = pairs.join(left, "a").join(right, "b").where(100 * both >= threshold * (F.size("va") + F.size("vb") - both)).select("a", "b")
     found = connected(links)
 
     at = members.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("band", "rep", "n", F.coalesce("component", "rep").alias("component"))
-    at = scratch.table(at, "minhash-members-joined")
-    mixed = at.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("k"), F.sum(F.xxhash64("rep").cast("decimal(20)")).alias("s"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x")).where("c < d")
-    open_ = mixed.groupBy("k", "s", "x").agg(F.min("band").alias("band"))  # of buckets with the same members, one
-    counted = at.join(open_.select("band"), "band", "left_semi").groupBy("band", "component").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
-    blocks = lambda k, n: F.greatest(F.ceil(k / BLOCK_MEMBERS), F.ceil(n / BLOCK_SHINGLES)).cast("int")
-    plan = counted.groupBy("band").agg(F.max_by("component", "k").alias("major"), F.max("k").alias("mk"), F.max_by("n", "k").alias("mn"), F.sum("k").alias("k"), F.sum("n").alias("n"))
-    plan = scratch.table(plan.select("band", "major", blocks(F.col("mk"), F.col("mn")).alias("nb_major"), F.greatest(F.lit(1), blocks(F.col("k") - F.col("mk"), F.col("n") - F.col("mn"))).alias("nb_minor")), "minhash-open")
+    at = table(at, "minhash-members-joined")
+    plan = table(_plan(at), "minhash-open")
     if plan.isEmpty():
-        components = found
-    else:
-        dealt = at.join(_small(plan, plan.count()), "band").withColumn("minor", F.col("component") != F.col("major"))
-        i = F.pmod(F.xxhash64("rep"), F.when(F.col("minor"), F.col("nb_minor")).otherwise(F.col("nb_major"))).cast("int")
-        # a group is a block x of the rest with block y: of the rest from 0 on, of the largest from -1 down
-        of_minor = F.concat(
-            F.transform(F.sequence(F.lit(0), F.col("nb_minor") - 1), lambda j: F.struct(F.least(i, j).alias("x"), F.greatest(i, j).alias("y"))),
-            F.transform(F.sequence(F.lit(1), F.col("nb_major")), lambda j: F.struct(i.alias("x"), (-j).alias("y"))),
-        )
-        of_major = F.transform(F.sequence(F.lit(0), F.col("nb_minor") - 1), lambda j: F.struct(j.alias("x"), (-i - 1).alias("y")))
-        spread = dealt.select("band", "rep", "component", "minor", F.explode(F.when(F.col("minor"), of_minor).otherwise(of_major)).alias("g")).select("band", "g.x", "g.y", "rep", "component", "minor")
-        kind = rows.schema["doc_id"].dataType.simpleString()
-        more = spread.join(values.withColumnRenamed("id", "rep"), "rep").groupBy("band", "x", "y").applyInPandas(_cross_links(threshold), f"a {kind}, b {kind}")
-        components = connected(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
-
-    of_node = nodes.select("digest", "rep").join(components.withColumnRenamed("id", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("component"))
-    out = signed.select("doc_id", "n_shingles", "digest").join(of_node, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
+        return found
+    large = F.col("nb_major") + F.col("nb_minor") > 2
+    more = _compared(at, plan.where(~large), values, threshold)
+    if not plan.where(large).isEmpty():
+        rare = table(_rare(at.join(plan.where(large).select("band"), "band", "left_semi").select("rep", "component").distinct(), values, threshold), "minhash-rare")
+        more = more.unionByName(_compared(rare, table(_plan(rare), "minhash-open"), values, threshold))
+    return connected(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
 
 def keep_one(docs: DataFrame, size: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each component, the one of the least id, with its own columns; all rows of texts without words.
 
-    Where an id is null or repeated, rows are numbered in the order of their ids, nulls last, and judged by number.
+    Where ids are null, repeated or no numbers, rows are numbered in the order of their ids, nulls
+    last, and judged by number: of equal rows one stays. An empty table stays empty.
     """
     rows = id_text(docs, id_col, text_col)
     signed = scratch.table(signatures(rows, size), "minhash-signatures")
-    if not signed.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty():
-        order = docs.orderBy(F.col(id_col).asc_nulls_last(), F.monotonically_increasing_id())
-        numbered = scratch.table(order.withColumn("__row", F.monotonically_increasing_id()), "minhash-numbered")
-        return keep_one(numbered, size, threshold, "__row", text_col).drop("__row")
-    judged = scratch.table(_judged(rows, signed, size, threshold).where("not kept").select(F.col("doc_id").alias("__gone")).distinct(), "minhash-gone")
+    if not _names_rows(signed):
+        return keep_one(_numbered(docs, id_col), size, threshold, "__row", text_col).drop("__row")
+    judged = scratch.table(_judged(rows, signed, size, threshold).where("not kept").select(F.col("doc_id").alias("__gone")), "minhash-gone")
     return docs.join(_small(judged, judged.count()), F.col(id_col) == F.col("__gone"), "left_anti")

@@ -53,6 +53,49 @@ def test_equals_brute_force(spark, words, size):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_large_buckets_equal_brute_force(spark, words, monkeypatch):
+    """Buckets of more than two blocks are divided by rare shingles, and no link is lost."""
+    monkeypatch.setattr(minhash, "BLOCK_MEMBERS", 6)
+    rng, rows = random.Random(3), []
+    base = words(150, 11).split()
+    for _ in range(120):
+        edited = base[:]
+        for _ in range(rng.choice([0, 3, 6, 20, 40])):
+            edited[rng.randrange(len(edited))] = words(1, rng.random())
+        rows.append(" ".join(edited))
+    rows = list(enumerate(rows + [" ".join(base[:110] + words(40, k).split()) for k in range(100)]))
+    rng.shuffle(rows)
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, 2, 80)
+
+
+def test_a_shared_passage_brings_nothing_together(spark, words):
+    """Texts of one passage and words of their own: none is compared, however many there are."""
+    passage = words(140, 1)
+    rows = [(i, passage + " " + words(60, 100 + i)) for i in range(1500)]
+    texts = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    values = minhash._sets(texts, 5)
+    members = texts.selectExpr("doc_id as rep", "doc_id as component")
+    assert minhash._rare(members, values, 80).count() == 0
+    assert minhash.near_duplicates(texts, 5).where("not kept").count() == 0
+
+
+def test_repeated_ids(spark, words):
+    a, b, c = words(80, 1), words(80, 2), words(80, 3)
+    rows = [(5, a), (6, a + " z"), (6, b), (9, b + " y"), (11, "only one"), (11, "only one"), (None, c), (None, c), (12, None)]
+    got = sorted((str(r.doc_id), str(r.component_id), r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect())
+    want = [("5", "5", True), ("6", "5", False), ("6", "6", True), ("9", "6", False), ("11", "11", True), ("11", "11", True), ("12", "12", True), ("None", "None", True), ("None", "None", False)]
+    assert got == sorted(want)
+    kept = minhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), 5).collect()
+    assert sorted((str(r.doc_id), r.text or "") for r in kept) == sorted([("5", a), ("6", b), ("11", "only one"), ("None", c), ("12", "")])
+
+
+def test_ids_of_other_types(spark, words):
+    rows = [("b", words(60, 1)), ("a", words(60, 1) + " x"), ("c", words(60, 2)), (None, "")]
+    got = {r.doc_id: (r.component_id, r.kept) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id string, text string"), 5).collect()}
+    assert got == {"a": ("a", True), "b": ("a", False), "c": ("c", True), None: (None, True)}
+
+
 def test_edges(spark, edge):
     got = minhash.near_duplicates(edge, 2).collect()
     assert len(got) == edge.count()
