@@ -2,11 +2,9 @@
 
 The pre-tokeniser of this vocabulary always starts a pre-token at a single space between two
 characters that are no white space, so a text is cut there into chunks whose ids can be put
-together. Chunks are views of the Arrow buffer; those of a slice are looked up in the table of
-known chunks at once, and their ids are gathered from one flat array. A new chunk of common
-characters is cut into pre-tokens and each new pre-token goes to the library's BPE model once;
-other chunks (odd white space, rare characters, an added token's string) go through the library's
-whole ``encode``. A full table keeps the half that was used most; this costs time, never ids.
+together. A new chunk of common characters is cut into pre-tokens and each new pre-token goes to the
+library's BPE model once; other chunks (odd white space, rare characters, an added token's string)
+go through the library's whole ``encode``.
 """
 
 from __future__ import annotations
@@ -18,13 +16,13 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 
+from barforge.llm.chunks import Known, gathered
 from barforge.llm.shingles import buffers
 
-#: Chunks and pre-tokens that a worker's tables hold at most, and chunks that are looked up at once.
-CHUNKS, PARTS, AT_ONCE = 400_000, 150_000, 1_000_000
+#: Chunks and pre-tokens that a worker's tables hold at most.
+CHUNKS, PARTS = 400_000, 150_000
 _COMMON = "!-~¡-ɏ–—‘’“”…"  # classes of these characters are the same in every Unicode version
 _SIMPLE = re.compile(rf" ?[{_COMMON}]+(?:\n[{_COMMON}]+)*")
 #: The public pre-token pattern of byte-level BPE.
@@ -70,27 +68,6 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(edge[:n])
 
 
-class Ragged:
-    """Arrays of ids in one flat array, gathered by number."""
-
-    def __init__(self):
-        self.flat, self.first, self.size = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def add(self, flat: np.ndarray, size: np.ndarray) -> None:
-        self.first = np.r_[self.first, len(self.flat) + np.cumsum(size) - size]
-        self.flat, self.size = np.r_[self.flat, flat], np.r_[self.size, size]
-
-    def take(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        size = self.size[numbers]
-        ends = np.cumsum(size)
-        return self.flat[np.repeat(self.first[numbers] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)], size
-
-    def keep(self, numbers: np.ndarray) -> None:
-        flat, size = self.take(numbers)
-        self.__init__()
-        self.add(flat, size)
-
-
 class ByteChunks:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
@@ -103,7 +80,7 @@ class ByteChunks:
         self.model = self.library.model
         self.letters = _letters()
         self.parts: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}  # of this generation, of the last
-        self.known, self.ids, self.used = pa.array([], pa.large_string()), Ragged(), np.empty(0, np.int64)
+        self.known = Known(self._learn, CHUNKS, np.uint32)
         # an added token inside a chunk is found there as it is in the whole text
         self.cuts = not any(t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content) for t in added) and self._cuts()
 
@@ -136,45 +113,20 @@ class ByteChunks:
             out.append(ids)
         return out
 
-    def _learn(self, fresh: list[str]) -> pa.Array:
-        """Adds new chunks to the table, in the order in which they are returned."""
+    def _learn(self, fresh: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         simple = [c for c in fresh if _SIMPLE.fullmatch(c) and not any(a in c for a in self.added)]
         plain = [c for c in simple if c[0] == " "]
         rest = [c for c in simple if c[0] != " "]  # a text's first chunk
         odd = [] if len(simple) == len(fresh) else sorted(set(fresh) - set(simple))
-        if plain:  # each chunk starts a pre-token, so all of them are cut in one go
-            parts = _PRE.findall("".join(plain))
-            ids = self._part_ids(parts)
-            ends = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)))
-            owner = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))))
-            size = np.bincount(owner, np.fromiter(map(len, ids), np.int64, len(ids)), len(plain)).astype(np.int64) // 4
-            self.ids.add(np.frombuffer(b"".join(ids), np.uint32), size)
-        if rest or odd:
-            whole = [b"".join(self._part_ids(_PRE.findall(c))) for c in rest] + [array("I", self._whole(c)).tobytes() for c in odd]
-            self.ids.add(np.frombuffer(b"".join(whole), np.uint32), np.fromiter(map(len, whole), np.int64, len(whole)) // 4)
-        made = pa.array(plain + rest + odd, pa.large_string())
-        self.known = pa.concat_arrays([self.known, made])
-        self.used = np.r_[self.used, np.zeros(len(made), np.int64)]
-        return made
-
-    def _forget(self) -> None:
-        best = np.sort(np.argpartition(-self.used, CHUNKS // 2)[: CHUNKS // 2])
-        self.known, self.used = self.known.take(pa.array(best)), self.used[best] // 2
-        self.ids.keep(best)
-
-    def _chunk_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks in a row, and how many each has."""
-        if len(self.known) > CHUNKS:
-            self._forget()
-        base = len(self.known)
-        found = pc.index_in(chunks, value_set=self.known)
-        number = found.fill_null(-1).to_numpy().astype(np.int64)
-        new = np.flatnonzero(number < 0)
-        if len(new):
-            missing = chunks.take(pa.array(new))
-            number[new] = base + pc.index_in(missing, value_set=self._learn(missing.unique().to_pylist())).to_numpy()
-        self.used += np.bincount(number, minlength=len(self.used))
-        return self.ids.take(number)
+        # each plain chunk starts a pre-token, so all of them are cut in one go
+        parts = _PRE.findall("".join(plain))
+        ids = self._part_ids(parts)
+        ends = np.cumsum(np.fromiter(map(len, plain), np.int64, len(plain)))
+        owner = np.searchsorted(ends, np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))))
+        size = np.bincount(owner, np.fromiter(map(len, ids), np.int64, len(ids)), len(plain)).astype(np.int64)
+        ids += [b"".join(self._part_ids(_PRE.findall(c))) for c in rest] + [array("I", self._whole(c)).tobytes() for c in odd]
+        others = np.fromiter(map(len, ids[len(parts) :]), np.int64, len(rest) + len(odd))
+        return plain + rest + odd, np.frombuffer(b"".join(ids), np.uint32), np.r_[size, others] // 4
 
     def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """uint32 ids of all texts in a row, and where each text's start (and the last one's end)."""
@@ -182,16 +134,7 @@ class ByteChunks:
             whole = [self._whole(t) for t in texts.to_pylist()]
             return np.array(list(itertools.chain.from_iterable(whole)), np.uint32), np.cumsum([0, *map(len, whole)])
         data, offsets = buffers(texts)
-        starts = chunk_starts(data, offsets)
-        bounds = np.append(starts, len(data))
-        flat, sizes = [np.empty(0, np.uint32)], [np.zeros(1, np.int64)]
-        for at in range(0, len(starts), AT_ONCE):
-            own = bounds[at : at + AT_ONCE + 1]
-            chunks = pa.Array.from_buffers(pa.large_string(), len(own) - 1, [None, pa.py_buffer(np.ascontiguousarray(own - own[0])), pa.py_buffer(data[own[0] : own[-1]])])
-            ids, size = self._chunk_ids(chunks)
-            flat.append(ids), sizes.append(size)
-        ends = np.cumsum(np.concatenate(sizes))
-        return np.concatenate(flat), ends[np.searchsorted(starts, offsets)]
+        return gathered(self.known, data, offsets, chunk_starts(data, offsets))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """uint32 ids of each text, as ``Tokenizer.encode(text, add_special_tokens=False)``."""

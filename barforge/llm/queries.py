@@ -31,7 +31,7 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_path(PIECE_MODEL)
-    return pieces.decode(pieces.encode(read(spark, sf_dir, "documents"), model), model).select(
+    return pieces.encode(read(spark, sf_dir, "documents"), model, decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

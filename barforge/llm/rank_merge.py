@@ -4,13 +4,17 @@ Pre-tokens (white-space chunks, which no piece crosses) are held as one flat arr
 numbers with a sequence number for each symbol. A round finds every sequence's best-ranked
 adjacent pair, leftmost among equals, and merges it in all sequences at once; where no pair that
 the merged piece can form ranks better than the piece itself, all of the pair's occurrences in the
-sequence are merged in the round. Sequences leave when no pair is left. What survives is counted:
-one token for a known piece, one for each UTF-8 byte of an unknown character.
+sequence are merged in the round. Sequences leave when no pair is left. A sequence of more than
+``LONG`` symbols (a chunk without white space) would take a round for nearly every one of them: it
+is held as a linked array with a heap of its pairs by rank and place, and a merge touches just its
+neighbours. What survives is counted: one token for a known piece, one for each UTF-8 byte of an
+unknown character.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -18,10 +22,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barforge.llm.pieces import MARK, chunk_table
-from barforge.llm.sources import id_text, slices
+from barforge.llm.chunks import Known, gathered
+from barforge.llm.pieces import MARK, chunk_table, marked
+from barforge.llm.sources import TOKENIZER_BYTES, id_text, slices
 
-WORDS = 500_000
+WORDS = 400_000
+LONG = 512
 NONE = np.iinfo(np.int64).max
 _mergers: dict[str, "Merger"] = {}
 
@@ -30,8 +36,7 @@ class Merger:
     """Pair ranks of one sentencepiece BPE model."""
 
     def __init__(self, path: str):
-        table = chunk_table(path)
-        self.chunks, model = table.chunks, table.model
+        model = chunk_table(path).model
         size = model.get_piece_size()
         normal = [i for i in range(size) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
         name = {i: model.id_to_piece(i) for i in normal}
@@ -57,7 +62,8 @@ class Merger:
         for part in (np.array(left, np.int64), np.array(right, np.int64)):
             np.minimum.at(best, part, self.rank[into_a])
         self.safe = best > self.rank
-        self.known: dict[str, int] = {}
+        self.pairs = dict(zip(self.keys.tolist(), zip(self.rank[self.into].tolist(), self.into.tolist(), strict=True), strict=True))
+        self.known = Known(self._learn, WORDS, np.int64)
 
     def _pairs(self, sym: np.ndarray, seq: np.ndarray) -> np.ndarray:
         """The piece that each symbol forms with the next of its sequence, or -1."""
@@ -75,6 +81,8 @@ class Merger:
         sym = np.array([self.single.get(chr(c), self.size - 1) for c in letters], np.int64)[back]
         size_of = np.where(letters < 0x80, 1, np.where(letters < 0x800, 2, np.where(letters < 0x10000, 3, 4)))[back]
         unknown = sym == self.size - 1
+        if len(texts) == 1 and len(sym) > LONG:
+            return np.array([self._linked(sym) + int(np.where(unknown, size_of - 1, 0).sum())])
         total = np.bincount(seq, weights=np.where(unknown, size_of - 1, 0), minlength=len(texts)).astype(np.int64)
         while len(sym) > 1:
             made = self._pairs(sym, seq)
@@ -112,21 +120,53 @@ class Merger:
             sym, seq = sym[keep], seq[keep]
         return total + np.bincount(seq, minlength=len(texts))
 
-    def count(self, texts: list[str]) -> list[int]:
-        known, split = self.known, [self.chunks(t) for t in texts]
-        if len(known) > WORDS:
-            known.clear()
-        fresh = [w for w in dict.fromkeys(w for words in split for w in words) if w not in known]
-        fresh.sort(key=len)  # sequences of like lengths end together
-        at = 0
-        while at < len(fresh):
+    def _linked(self, symbols: np.ndarray) -> int:
+        """Surviving symbols of one long sequence."""
+        n = left = len(symbols)
+        made = self._pairs(symbols, np.zeros(n, np.int64))
+        place = np.flatnonzero(made >= 0)
+        heap = (self.rank[made[place]] * n + place).tolist()
+        heapify(heap)
+        sym, after, before = symbols.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            rank, at = divmod(heappop(heap), n)
+            to = after[at]
+            if sym[at] < 0 or to >= n:
+                continue
+            pair = self.pairs.get(sym[at] * self.size + sym[to])
+            if pair is None or pair[0] != rank:
+                continue  # its symbols have been merged with others
+            sym[at], sym[to], after[at] = pair[1], -1, after[to]
+            if after[to] < n:
+                before[after[to]] = at
+            left -= 1
+            for i, j in ((before[at], at), (at, after[at])):
+                if i >= 0 and j < n and (pair := self.pairs.get(sym[i] * self.size + sym[j])):
+                    heappush(heap, pair[0] * n + i)
+        return left
+
+    def _learn(self, chunks: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Counts of new chunks, each of which starts with a space, the marker of its own."""
+        chunks = sorted(chunks, key=len)  # sequences of like lengths end together
+        found, at = [np.empty(0, np.int64)], 0
+        while at < len(chunks):
             end, held = at, 0
-            while end < len(fresh) and (end == at or held + len(fresh[end]) < 65_536):
-                held += len(fresh[end]) + 1
+            while end < len(chunks) and (end == at or (held + len(chunks[end]) < 65_536 and len(chunks[end]) <= LONG)):
+                held += len(chunks[end])
                 end += 1
-            known.update(zip(fresh[at:end], self.counts(fresh[at:end]).tolist(), strict=True))
+            found.append(self.counts([c[1:] for c in chunks[at:end]]))
             at = end
-        return [sum([known[w] for w in words]) for words in split]
+        return chunks, np.concatenate(found), np.ones(len(chunks), np.int64)
+
+    def count_array(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text."""
+        data, offsets, starts = marked(texts)
+        of_chunk, ends = gathered(self.known, data, offsets, starts)
+        total = np.r_[0, np.cumsum(of_chunk)]
+        return total[ends[1:]] - total[ends[:-1]]
+
+    def count(self, texts: list[str]) -> list[int]:
+        return self.count_array(pa.array(texts, pa.large_string())).tolist()
 
 
 def merger(path: str) -> Merger:
@@ -144,9 +184,9 @@ def count(docs: DataFrame, model: str, limit: int, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = merger(model)
-        for batch in slices(batches):
+        for batch in slices(batches, most=TOKENIZER_BYTES, rows=65_536):
             texts = batch.column("text")
-            n = pa.array(own.count(texts.to_pylist()), pa.int64())
+            n = pa.array(own.count_array(texts))
             size = pc.binary_length(texts).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), size, n], ["doc_id", "n_bytes", "n_tokens"])
 

@@ -6,6 +6,7 @@ import pytest
 
 from barforge.llm import binpack, bytebpe, idfile, pieces, rank_merge
 from barforge.llm.queries import BYTE_MODEL, PIECE_MODEL, tokenizer_path
+from tests.conftest import SMALL
 
 ODD = ["a", "b", " ", "  ", "\n", "é", "▁", "<s>", "漢", "🙂", "\t", "aaaa", "==", "the", "\x00", "<0x0A>", "-", "ing", "<|endoftext|>", "'s", "\u0085", " ", "12", "_", "́"]
 
@@ -32,6 +33,51 @@ def test_bytes_equal_the_library(odd_texts):
     assert [x.tolist() for x in own.encode(odd_texts)] == [own.library.encode(t, add_special_tokens=False).ids for t in odd_texts]
 
 
+def test_long_chunks(odd_texts):
+    """A chunk without white space takes time in proportion, and counts as the library's."""
+    import time
+
+    import sentencepiece
+
+    path, rng = tokenizer_path(PIECE_MODEL), random.Random(2)
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=200_000)), "".join(rng.choices("the漢é🙂an", k=30_000)), "a" * 50_001, "=" * 20_000]
+    began = time.perf_counter()
+    want = [len(library.encode(t)) for t in texts]
+    took, began = time.perf_counter() - began, time.perf_counter()
+    assert rank_merge.merger(path).count(texts) == want
+    assert time.perf_counter() - began < 50 * took + 5
+
+
+def test_tables_forget_and_stay_right(odd_texts, monkeypatch):
+    from barforge.llm.chunks import Known
+
+    piece, byte = pieces.ChunkTable(tokenizer_path(PIECE_MODEL)), bytebpe.ByteChunks(tokenizer_path(BYTE_MODEL))
+    piece.known, byte.known = Known(piece.segment, 60, np.int32), Known(byte._learn, 60, np.uint32)
+    for at in range(0, 600, 50):
+        part = odd_texts[at : at + 50]
+        assert [x.tolist() for x in piece.encode(part)] == piece.model.encode(part)
+        assert [x.tolist() for x in byte.encode(part)] == [byte.library.encode(t, add_special_tokens=False).ids for t in part]
+
+
+def test_documents_equal_the_libraries(spark):
+    """The three tokenizers on all documents, and the corpus table is used."""
+    import sentencepiece
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    piece, byte = tokenizer_path(PIECE_MODEL), bytebpe.encoder(tokenizer_path(BYTE_MODEL))
+    library = sentencepiece.SentencePieceProcessor(model_file=piece)
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    want = {i: library.encode(t) for i, t in texts.items()}
+    table = pieces.corpus_table(docs.select("text").na.fill(""), piece, 500)
+    assert table.num_rows == 500 and table.column("n").to_pylist() == sorted(table.column("n").to_pylist(), reverse=True)
+    got = pieces.encode(docs, piece, decoded=True, frequent=500).collect()
+    assert {r.doc_id: r.ids for r in got} == want and all(r.decoded == library.decode(want[r.doc_id]) for r in got)
+    assert {r.doc_id: r.n_tokens for r in rank_merge.count(docs, piece, 100).collect()} == {i: len(x) for i, x in want.items()}
+    ids = sorted(texts)
+    assert [x.tolist() for x in byte.encode([texts[i] for i in ids])] == [byte.library.encode(texts[i], add_special_tokens=False).ids for i in ids]
+
+
 def test_round_trip_and_edges(spark, edge):
     path = tokenizer_path(PIECE_MODEL)
     rows = pieces.decode(pieces.encode(edge, path), path).collect()
