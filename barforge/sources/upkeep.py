@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import json
+from math import ceil
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from barforge.sources import tape
+
 
 def calendar(spark: SparkSession, start: str, end: str, step: str = "1 day") -> DataFrame:
     """``date`` from start to end, both included, by ``1 day`` or ``1 month``."""
@@ -123,7 +128,69 @@ def pending(wanted: DataFrame, manifest: DataFrame, key: str = "path") -> DataFr
     return wanted.join(manifest.where("state = 'completed'").select(key), key, "left_anti")
 
 
-def archive_urls(dates: DataFrame, base: str, symbol: str, monthly: bool = False) -> DataFrame:
-    """``date, url`` of the archives of a symbol under a base address; fetching them is left to the caller."""
+#: Folders of an archive's markets.
+MARKETS = {"spot": "spot", "um": "futures/um", "cm": "futures/cm"}
+
+
+def archive_urls(dates: DataFrame, base: str, symbol: str, monthly: bool = False, market: str | None = None) -> DataFrame:
+    """``date, url`` of the archives of a symbol under a base address; fetching them is left to the caller.
+
+    ``market`` (spot, um or cm) adds the folders in which published archives of that market lie.
+    """
     stamp = F.date_format("date", "yyyy-MM" if monthly else "yyyy-MM-dd")
-    return dates.select("date", F.concat(F.lit(f"{base.rstrip('/')}/{symbol}/{symbol}-trades-"), stamp, F.lit(".zip")).alias("url"))
+    folder = f"{MARKETS[market]}/{'monthly' if monthly else 'daily'}/trades/" if market else ""
+    return dates.select("date", F.concat(F.lit(f"{base.rstrip('/')}/{folder}{symbol}/{symbol}-trades-"), stamp, F.lit(".zip")).alias("url"))
+
+
+def verified(files: DataFrame, sums: DataFrame) -> DataFrame:
+    """``path, state`` of files ``(path, sha256)`` against published lines ``value`` of a sum and a file name.
+
+    ``completed`` where the sums agree, ``failed`` where they differ, ``pending`` without a published one.
+    """
+    cells = F.split(F.trim("value"), r"\s+\*?")
+    told = sums.select(F.lower(cells[0]).alias("__sum"), F.element_at(cells, -1).alias("__name")).where("__sum <> ''").dropDuplicates(["__name"])
+    own = files.withColumn("__name", F.element_at(F.split("path", "/"), -1))
+    state = F.when(F.col("__sum").isNull(), "pending").when(F.lower("sha256") == F.col("__sum"), "completed").otherwise("failed")
+    return own.join(told, "__name", "left").select("path", state.alias("state"))
+
+
+def convert(spark: SparkSession, source: str, target: str) -> tuple[int, int]:
+    """Archives at ``source`` written as Parquet to ``target``: trades read, and trades counted again in what was written.
+
+    Raises if the two differ. The first count is taken while rows are written, without another pass.
+    """
+    counted = Observation()
+    tape.read_zips(spark, source).observe(counted, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(target)
+    read, written = counted.get["n"], spark.read.parquet(target).count()
+    if read != written:
+        raise ValueError(f"{read} trades read, {written} written to {target}")
+    return read, written
+
+
+def pack_by_size(trades: DataFrame, path: str, size: int, most: int, **options) -> int:
+    """``pack`` into as many files as keep each under ``most`` bytes, of trades that take ``size``; cast to the schema, in its order.
+
+    Packed files take nine tenths of what they are made of. Returns the number of files.
+    """
+    files = max(1, ceil(0.9 * size / most))
+    ready = trades.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in tape.TRADE_SCHEMA.fields])
+    pack(ready, path, files, **options)
+    return files
+
+
+def load_bars(spark: SparkSession, path: str, params: str | float | None = None) -> DataFrame:
+    """Bars written by ``write_bars``, of one parameter set if given: other folders are not read."""
+    bars = spark.read.parquet(path)
+    return bars if params is None else bars.where(F.col("params") == params)
+
+
+def write_experiment(folder: str, stats: DataFrame, about: dict) -> None:
+    """Statistics as CSV and facts as JSON in a folder of their own."""
+    stats.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{folder}/statistics")  # a row for each feature
+    stats.sparkSession.createDataFrame([(json.dumps(about, sort_keys=True),)], "value string").write.mode("overwrite").text(f"{folder}/metadata")
+
+
+def experiments(spark: SparkSession, root: str) -> DataFrame:
+    """``folder`` and the facts of every experiment under ``root``."""
+    found = spark.read.json(f"{root}/*/metadata")
+    return found.withColumn("folder", F.regexp_extract(F.input_file_name(), "([^/]+)/metadata/", 1))
