@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from barforge.operators.series import halo_blocks
 
+#: The windows and numbers of bins that existing feature tables have.
 WINDOWS = tuple(range(50, 451, 50))
 SHANNON_BINS = tuple(range(25, 226, 25))
 BINS = (25, 50, 75, 100, 150, 200)
@@ -31,33 +32,48 @@ def shannon_rows(view: np.ndarray, bins: int) -> np.ndarray:
     return -np.where(p > 0, p * np.log2(np.where(p > 0, p, 1.0)), 0.0).sum(1)
 
 
-def _match_lengths(s: np.ndarray) -> np.ndarray:
-    """For each place, the longest run from it that also occurs earlier without reaching past it."""
-    n = len(s)
-    same = s[:, None] == s[None, :]
-    common = np.zeros((n + 1, n + 1), np.int32)  # run of equal symbols from (i, j) on
+def match_lengths(view: np.ndarray) -> np.ndarray:
+    """For each place of each row, the longest run from it that also occurs earlier without reaching past it."""
+    rows, n = view.shape
+    view = np.ascontiguousarray(view, np.int16)
+    common = np.zeros((rows, n + 1), np.int16)  # run of equal symbols from (i + 1, j) on
+    apart = np.arange(n, 0, -1, dtype=np.int16)  # n - j
+    out = np.zeros((rows, n), np.int16)
     for i in range(n - 1, -1, -1):
-        common[i, :n] = np.where(same[i], common[i + 1, 1:] + 1, 0)
-    i, j = np.arange(n)[:, None], np.arange(n)[None, :]
-    return np.where(j < i, np.minimum(common[:n, :n], i - j), 0).max(1)
+        now = np.zeros((rows, i + 1), np.int16)
+        if i:
+            np.multiply(common[:, 1 : i + 1] + np.int16(1), view[:, i : i + 1] == view[:, :i], out=now[:, :i])
+            out[:, i] = np.minimum(now[:, :i], apart[n - i :]).max(1)
+        common = now
+    return out
 
 
-def lempel_ziv(s: np.ndarray) -> float:
+def lempel_ziv_rows(view: np.ndarray) -> np.ndarray:
     """Number of phrases over n / log2 n; each is the longest match with what is before, and a symbol."""
-    n = len(s)
+    rows, n = view.shape
     if n <= 1:
-        return np.nan
-    longest, at, phrases = _match_lengths(s), 0, 1
-    while at < n:
-        at += int(longest[at]) + 1
-        phrases += at < n
-    return phrases / (n / np.log2(n))
+        return np.full(rows, np.nan)
+    longest, at, phrases, row = match_lengths(view).astype(np.int64), np.zeros(rows, np.int64), np.ones(rows), np.arange(rows)
+    while True:
+        live = at < n
+        if not live.any():
+            return phrases / (n / np.log2(n))
+        at[live] += longest[row[live], at[live]] + 1
+        phrases += live & (at < n)
 
 
-def kontoyiannis(s: np.ndarray) -> float:
+def kontoyiannis_rows(view: np.ndarray) -> np.ndarray:
     """log2 n over the mean of match lengths plus one."""
-    n = len(s)
-    return np.nan if n < 4 else float(np.log2(n) / (_match_lengths(s)[1:] + 1).mean())
+    rows, n = view.shape
+    return np.full(rows, np.nan) if n < 4 else np.log2(n) / (match_lengths(view)[:, 1:].astype(np.float64) + 1).mean(1)
+
+
+def lempel_ziv(s: np.ndarray) -> float:
+    return float(lempel_ziv_rows(np.asarray(s)[None, :])[0])
+
+
+def kontoyiannis(s: np.ndarray) -> float:
+    return float(kontoyiannis_rows(np.asarray(s)[None, :])[0])
 
 
 def cut_equal(row: np.ndarray, bins: int) -> np.ndarray:
@@ -83,17 +99,18 @@ def shannon(rows: DataFrame, windows: tuple[int, ...] = WINDOWS, bins: tuple[int
     return halo_blocks(rows, max(windows) - 1, fn, ", ".join(f"shannon_w{w}_b{b} double" for w, b in made), value, block=16_384)
 
 
-def _by_row(kernel, cut, b):
-    return lambda m: np.array([kernel(cut(r, b)) for r in m])
+def _cut_rows(kernel, cut, b):
+    """``kernel`` of some hundred windows at a time, each cut by itself."""
+    return lambda m: np.concatenate([kernel(np.stack([cut(r, b) for r in m[a : a + 256]])) for a in range(0, len(m), 256)])
 
 
 def lz(rows: DataFrame, windows: tuple[int, ...] = WINDOWS, bins: tuple[int, ...] = BINS, value: str = "value") -> DataFrame:
     made = [(w, b) for w in windows for b in bins if w >= 2 * b]
-    fn = lambda v: {f"lz_w{w}_b{b}": _rolling(v, w, _by_row(lempel_ziv, cut_equal, b)) for w, b in made}
+    fn = lambda v: {f"lz_w{w}_b{b}": _rolling(v, w, _cut_rows(lempel_ziv_rows, cut_equal, b)) for w, b in made}
     return halo_blocks(rows, max(windows) - 1, fn, ", ".join(f"lz_w{w}_b{b} double" for w, b in made), value, block=2_048)
 
 
 def kont(rows: DataFrame, windows: tuple[int, ...] = WINDOWS, bins: tuple[int, ...] = BINS, value: str = "value") -> DataFrame:
     made = [(w, b) for w in windows for b in bins if w >= 4 * b]
-    fn = lambda v: {f"kont_w{w}_b{b}": _rolling(v, w, _by_row(kontoyiannis, cut_quantile, b)) for w, b in made}
+    fn = lambda v: {f"kont_w{w}_b{b}": _rolling(v, w, _cut_rows(kontoyiannis_rows, cut_quantile, b)) for w, b in made}
     return halo_blocks(rows, max(windows) - 1, fn, ", ".join(f"kont_w{w}_b{b} double" for w, b in made), value, block=2_048)

@@ -24,8 +24,24 @@ def frame(n: int, last: int = 0) -> WindowSpec:
     return _order().rowsBetween(-(n - 1), last)
 
 
+def completed(bars: DataFrame) -> DataFrame:
+    """Columns that bars lack: high and low are the close, volume is 1, buy and sell volume follow the close.
+
+    A bar whose close did not fall has bought all of its volume and sold 0.3 of it, another the reverse.
+    """
+    high = {c: F.col("close") for c in ("high", "low") if c not in bars.columns}
+    bars = bars.withColumns(high | ({} if "volume" in bars.columns else {"volume": F.lit(1.0)}))
+    if {"buy", "usd"} <= set(bars.columns):
+        return bars
+    fell, most = F.col("close") < F.lag("close", 1).over(_order()), F.col("volume")
+    fell = F.coalesce(fell, F.lit(False))
+    bars = bars.withColumns({"__buy": F.when(fell, 0.3 * most).otherwise(most), "__sold": F.when(fell, most).otherwise(0.3 * most)})
+    return bars.withColumns({"buy": F.col("__buy"), "usd": F.col("__buy") + F.col("__sold")}).drop("__buy", "__sold")
+
+
 def prepared(bars: DataFrame) -> DataFrame:
     """Helper columns: sell volume, return on the current close, log range, spread of a pair of bars."""
+    bars = completed(bars)
     before = {c: F.lag(c).over(_order()) for c in ("high", "low", "close")}
     high, low, close = F.col("high"), F.col("low"), F.col("close")
     top, bottom = F.greatest(high, before["high"]), F.least(low, before["low"])
@@ -99,7 +115,7 @@ def features(bars: DataFrame, spread_windows: tuple[int, ...] = SPREAD_WINDOWS,
     """All families, 82 columns by default; one sort serves every frame."""
     made = {f"{name}_{n}": fn(n) for name, fn in FAMILIES.items() for n in (spread_windows if name == "corwin_schultz" else windows)}
     ready = prepared(bars)
-    return ready.withColumns(made).drop("__sell", "__ret", "__range", "__pair", "__before")
+    return ready.withColumns(made).select(*[f"`{c}`" for c in bars.columns], *made)
 
 
 # --- the older definitions: frames end at the current row, returns are relative to the previous close ---

@@ -71,7 +71,15 @@ def category(name: Column) -> Column:
 
 
 def category_summary(described: DataFrame) -> DataFrame:
-    return described.groupBy(category(F.col("feature")).alias("category")).agg(F.count("*").alias("n_features"), F.avg("mean").alias("avg_mean"), F.avg("std").alias("avg_std"), F.avg("missing_pct").alias("avg_missing"))
+    return described.groupBy(category(F.col("feature")).alias("category")).agg(F.count("*").alias("n_features"), F.avg("mean").alias("avg_mean"), F.avg("std").alias("avg_std"), F.avg(F.col("std") * F.col("std")).alias("avg_variance"), F.avg("missing_pct").alias("avg_missing"))
+
+
+def feature_types(rows: DataFrame, columns: list[str], target: str) -> DataFrame:
+    """A row for each type of feature (a name less its last part): variants, means of their statistics, extremes, correlations."""
+    kind = F.regexp_replace("feature", "_[^_]*$", "")
+    both = describe(rows, columns).join(target_correlation(rows, columns, target), "feature")  # a row for each column
+    means = [F.avg(c).alias(c) for c in ("mean", "std")] + [F.min("min").alias("min"), F.max("max").alias("max")] + [F.avg(c).alias(c) for c in ("q25", "q50", "q75")]
+    return both.groupBy(kind.alias("type")).agg(F.count("*").alias("n_variants"), *means, F.avg("corr").alias("corr_mean"), F.max(F.abs("corr")).alias("corr_most"))
 
 
 def classification(rows: DataFrame, label: str, predicted: str) -> DataFrame:

@@ -31,6 +31,13 @@ def grouped(rows: DataFrame, groups: int) -> tuple[DataFrame, int]:
     return rows.withColumn("group_idx", F.least(F.floor(F.col("idx") / size), F.lit(groups - 1)).cast("int")), n
 
 
+def combinations_of(rows: DataFrame, groups: int, tested: int) -> DataFrame:
+    """``idx, group_idx, tested_in``: each row's group, and the combinations that test it."""
+    at, _ = grouped(rows, groups)
+    of_group = phi_matrix(rows.sparkSession, groups, tested).where("is_test = 1").groupBy("group_idx").agg(F.sort_array(F.collect_list("comb_idx")).alias("tested_in"))
+    return at.join(F.broadcast(of_group), "group_idx").select("idx", "group_idx", "tested_in")
+
+
 def overlaps(rows: DataFrame, groups: int) -> DataFrame:
     """``idx, group_idx``: rows of other groups whose label overlaps a label of the group; null ``t1`` never does."""
     known = rows.where("t1 is not null")

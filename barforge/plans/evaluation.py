@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,8 +9,9 @@ from pyspark.sql import functions as F
 
 from barforge.operators import forest, profile, validation
 from barforge.operators import microstructure as M
-from barforge.plans import tapes
+from barforge.plans import features, tapes
 from barforge.plans.tapes import HOURS, THRESHOLD, hour_bars, sided
+from barforge.sources import shared
 from barforge.sources.tape import table
 from barforge.streaming import bars as live
 
@@ -44,7 +43,7 @@ def phi_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predictions for every order and each combination that tests its group, made of its columns."""
     orders = table(spark, sf_dir, "orders")
-    rows = orders.select((F.row_number().over(Window.orderBy("o_orderdate", "o_orderkey")) - 1).cast("long").alias("idx"), (F.col("o_orderstatus") == "F").cast("int").alias("y"), F.round(F.col("o_totalprice").cast("double") * 100).cast("long").alias("cents"))
+    rows = shared.numbered(orders.select("o_orderdate", "o_orderkey", "o_orderstatus", "o_totalprice"), "o_orderdate", "o_orderkey").select("idx", (F.col("o_orderstatus") == "F").cast("int").alias("y"), F.round(F.col("o_totalprice").cast("double") * 100).cast("long").alias("cents"))
     grouped, _ = validation.grouped(rows, GROUPS)
     phi = validation.phi_matrix(spark, GROUPS, TESTED).where("is_test = 1").select("comb_idx", "group_idx")
     return grouped.join(F.broadcast(phi), "group_idx").select("idx", "group_idx", "comb_idx", "y", (F.pmod(F.col("cents") + 37 * F.col("comb_idx"), F.lit(101)) / 100.0).alias("pred"))
@@ -82,7 +81,7 @@ def category_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     bars = M.features(hour_bars(spark, sf_dir), (10,), (24,))
     names = [c for c in bars.columns if c.endswith(("_10", "_24"))] + ["close"]
     s = profile.category_summary(profile.describe(bars, names))
-    return s.select("category", "n_features", *[F.round(c, 4).alias(c) for c in ("avg_std", "avg_missing")])
+    return s.select("category", "n_features", *[F.round(c, 4).alias(c) for c in ("avg_mean", "avg_std", "avg_variance", "avg_missing")])
 
 
 def class_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,14 +110,14 @@ def forest_cv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The standard bars once more, from a stream over the tape."""
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or tempfile.mkdtemp(prefix="barforge-ticks-")
-    base = f"{base}/ticks-{uuid.uuid4().hex}"
+    base = shared.path(spark, "ticks")
     ticks = sided(spark, sf_dir).select("symbol", "seq", F.col("time").cast("timestamp").alias("time"), "price", "qty", F.col("side").cast("int").alias("side"), "net")
     ticks.write.parquet(f"{base}/in")
     stream = spark.readStream.schema(ticks.schema).parquet(f"{base}/in")
     query = live.dollar_bars(stream, THRESHOLD).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/state").outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
+    for name in ("in", "state"):
+        shared.delete(spark, f"{base}/{name}")
     return spark.read.parquet(f"{base}/out").select("symbol", "bar_id", "start_seq", "end_seq", "open", "close", "usd", "ticks")
 
 
@@ -164,4 +163,9 @@ SELECT n_paths, round(mx, 4) AS max_sharpe, round(md, 4) AS median_sharpe, round
     "class_metrics": "WITH c AS (SELECT (o_orderstatus = 'F')::INT AS y, (o_orderdate < DATE '1995-06-17')::INT AS p FROM orders), m AS (SELECT count(*) FILTER (y = 1 AND p = 1) AS tp, count(*) FILTER (y = 0 AND p = 1) AS fp, count(*) FILTER (y = 1 AND p = 0) AS fn, count(*) FILTER (y = 0 AND p = 0) AS tn FROM c) SELECT tp, fp, fn, tn, round((tp + tn) / (tp + fp + fn + tn)::DOUBLE, 6) AS accuracy, round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp)::DOUBLE ELSE 0 END, 6) AS precision, round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn)::DOUBLE ELSE 0 END, 6) AS recall, round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn)::DOUBLE ELSE 0 END, 6) AS f1 FROM m",
     "regression_metrics": "WITH c AS (SELECT l_extendedprice::DOUBLE AS y, l_quantity::DOUBLE * 1500 AS p FROM lineitem) SELECT round(avg(abs(y - p)), 4) AS mae, round(sqrt(avg((y - p) * (y - p))), 4) AS rmse, round(1 - avg((y - p) * (y - p)) / var_pop(y), 4) AS r2 FROM c",
 }
+_SUMMARY = [(f"{k}_{n}", features._sql(k, n)) for k in M.FAMILIES for n in ((10,) if k == "corwin_schultz" else (24,))] + [("close", "close")]
+ORACLES["category_summary"] = f"""WITH {features._READY}, f AS (SELECT {', '.join(f'{sql} AS {c}' for c, sql in _SUMMARY)} FROM z),
+l AS ({' UNION ALL '.join(f"SELECT '{'other' if c == 'close' else 'microstructure'}' AS category, '{c}' AS feature, {c} AS v FROM f" for c, _ in _SUMMARY)}),
+s AS (SELECT category, feature, avg(v) AS mean, stddev_samp(v) AS std, 100.0::DOUBLE * count(*) FILTER (v IS NULL) / count(*) AS missing FROM l GROUP BY category, feature)
+SELECT category, count(*) AS n_features, round(avg(mean), 4) AS avg_mean, round(avg(std), 4) AS avg_std, round(avg(std * std), 4) AS avg_variance, round(avg(missing), 4) AS avg_missing FROM s GROUP BY category"""
 ORACLES["stream_bars"] = f"SELECT symbol, bar_id, start_seq, end_seq, open, close, usd, ticks FROM ({tapes.ORACLES['dollar_bars']})"

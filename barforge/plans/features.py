@@ -157,7 +157,6 @@ _UNIQUE = f"""{HOURS}, iv AS (SELECT symbol, time, {_T1} FROM bars), uq AS (
   SELECT a.symbol, a.time, a.t1, CASE WHEN a.t1 IS NULL THEN 1 ELSE 1.0::DOUBLE / count(b.time) END AS uniqueness
   FROM iv a LEFT JOIN iv b ON b.symbol = a.symbol AND b.t1 IS NOT NULL AND b.time <= a.t1 AND b.t1 >= a.time GROUP BY a.symbol, a.time, a.t1
 )"""
-_W = f"(PARTITION BY symbol ORDER BY idx ROWS BETWEEN {N - 1} PRECEDING AND CURRENT ROW)"
 _READY = f"""{HOURS}, p AS (
   SELECT *, usd - buy AS sell, coalesce((close - lag(close) OVER w) / (close + 1e-10), 0) AS ret, ln(high / (low + 1e-10) + 1e-10) AS rng,
          pow(ln(greatest(high, lag(high) OVER w) / least(low, lag(low) OVER w)), 2) AS beta,
@@ -166,17 +165,26 @@ _READY = f"""{HOURS}, p AS (
 ), q AS (
   SELECT *, lag(ret) OVER (PARTITION BY symbol ORDER BY idx) AS ret0, abs((sqrt(2 * beta) - sqrt(beta)) / (2 * (sqrt(2) - 1)) - sqrt(gamma / (2 * (sqrt(2) - 1)))) AS alpha FROM p
 ), z AS (SELECT *, 2 * (exp(alpha) - 1) / (1 + exp(alpha)) AS pair FROM q)"""
-_BEFORE = lambda n: f"(PARTITION BY symbol ORDER BY idx ROWS BETWEEN {n - 1} PRECEDING AND 1 PRECEDING)"
-_FEATURE_SQL = {
-    "corwin_schultz": f"CASE WHEN idx >= {SPREAD_N} THEN coalesce(avg(pair) OVER {_BEFORE(SPREAD_N)}, 0) END",
-    "vpin_fixed": f"CASE WHEN idx >= {N - 1} THEN CASE WHEN sum(volume) OVER {_W} > 0 THEN sum(abs(buy - sell)) OVER {_W} / sum(volume) OVER {_W} ELSE 0 END END",
-    "oir": f"CASE WHEN idx >= {N - 1} THEN CASE WHEN sum(usd) OVER {_W} > 0 THEN (sum(buy) OVER {_W} - sum(sell) OVER {_W}) / (sum(buy) OVER {_W} + sum(sell) OVER {_W}) ELSE 0 END END",
-    "volatility": f"CASE WHEN idx >= {N - 1} THEN stddev_samp(ret) OVER {_W} END",
-    "becker_parkinson": f"CASE WHEN idx >= {N - 1} THEN stddev_samp(rng) OVER {_W} / sqrt(4 * ln(2)) END",
-    "amihud": f"CASE WHEN idx >= {N - 1} THEN avg(abs(ret) / (volume + 1e-10)) OVER {_W} END",
-    "kyle_lambda": f"CASE WHEN idx >= {N - 1} THEN avg(abs(ret) / (volume + 1e-10)) OVER {_W} END",
-    "roll_spread": f"CASE WHEN idx >= {N} THEN CASE WHEN covar_samp(ret, ret0) OVER {_BEFORE(N)} < 0 THEN 2 * sqrt(-covar_samp(ret, ret0) OVER {_BEFORE(N)}) ELSE 0 END END",
-}
+
+
+def _sql(name: str, n: int) -> str:
+    """A feature of ``n`` rows over the prepared table ``z``."""
+    now = f"(PARTITION BY symbol ORDER BY idx ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+    before = f"(PARTITION BY symbol ORDER BY idx ROWS BETWEEN {n - 1} PRECEDING AND 1 PRECEDING)"
+    impact = f"CASE WHEN idx >= {n - 1} THEN avg(abs(ret) / (volume + 1e-10)) OVER {now} END"
+    return {
+        "corwin_schultz": f"CASE WHEN idx >= {n} THEN coalesce(avg(pair) OVER {before}, 0) END",
+        "vpin_fixed": f"CASE WHEN idx >= {n - 1} THEN CASE WHEN sum(volume) OVER {now} > 0 THEN sum(abs(buy - sell)) OVER {now} / sum(volume) OVER {now} ELSE 0 END END",
+        "oir": f"CASE WHEN idx >= {n - 1} THEN CASE WHEN sum(usd) OVER {now} > 0 THEN (sum(buy) OVER {now} - sum(sell) OVER {now}) / (sum(buy) OVER {now} + sum(sell) OVER {now}) ELSE 0 END END",
+        "volatility": f"CASE WHEN idx >= {n - 1} THEN stddev_samp(ret) OVER {now} END",
+        "becker_parkinson": f"CASE WHEN idx >= {n - 1} THEN stddev_samp(rng) OVER {now} / sqrt(4 * ln(2)) END",
+        "amihud": impact,
+        "kyle_lambda": impact,
+        "roll_spread": f"CASE WHEN idx >= {n} THEN CASE WHEN covar_samp(ret, ret0) OVER {before} < 0 THEN 2 * sqrt(-covar_samp(ret, ret0) OVER {before}) ELSE 0 END END",
+    }[name]
+
+
+_FEATURE_SQL = {k: _sql(k, SPREAD_N if k == "corwin_schultz" else N) for k in M.FAMILIES}
 _FRAC = f"""w AS (
   SELECT 0 AS k, 1::DOUBLE AS w UNION ALL SELECT k + 1, -w * ({D} - k) / (k + 1) FROM w WHERE abs(w) >= {D_THRESHOLD} OR k = 0
 )"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barforge.plans import evaluation, features, more, tapes
+from barforge.plans import chain, evaluation, features, more, tapes
 
-QUERIES: dict = {**tapes.QUERIES, **features.QUERIES, **evaluation.QUERIES, **more.QUERIES}
-ORACLES: dict = {**tapes.ORACLES, **features.ORACLES, **evaluation.ORACLES, **more.ORACLES}
+QUERIES: dict = {**tapes.QUERIES, **features.QUERIES, **evaluation.QUERIES, **more.QUERIES, **chain.QUERIES}
+ORACLES: dict = {**tapes.ORACLES, **features.ORACLES, **evaluation.ORACLES, **more.ORACLES, **chain.ORACLES}

@@ -78,43 +78,23 @@ def dedupe_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upkeep.deduplicate(rows, "l_partkey", "l_suppkey")
 
 
-def _large_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tape.table(spark, sf_dir, "orders").where("o_totalprice > 400000").select(F.col("o_orderdate").cast("date").alias("day"))
-
-
-def missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upkeep.missing_dates(_large_orders(spark, sf_dir), "day", weekdays=True)
-
-
-def missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upkeep.completeness(_large_orders(spark, sf_dir), "day")
-
-
-def daily_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upkeep.daily_gaps(_large_orders(spark, sf_dir), "day")
-
-
 def _order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The day of every order, whatever its price."""
+    """The day of every order."""
     return tape.table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("day"))
 
 
-def missing_days_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upkeep.missing_dates(_order_days(spark, sf_dir), "day", weekdays=True)
 
 
-def missing_months_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def missing_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upkeep.completeness(_order_days(spark, sf_dir), "day")
 
 
-def daily_gaps_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upkeep.daily_gaps(_order_days(spark, sf_dir), "day")
 
 
-def month_edges_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upkeep.month_edges(_order_days(spark, sf_dir), "day")
-
-
 def append_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tape.table(spark, sf_dir, "lineitem").select(F.col("l_shipdate").cast("date").alias("time"), F.col("l_quantity").cast("double").alias("qty"))
     fresh = upkeep.append_new(rows.where("time < date'1996-01-01'"), rows)
@@ -126,7 +106,7 @@ def audit_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def month_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upkeep.month_edges(_large_orders(spark, sf_dir), "day")
+    return upkeep.month_edges(_order_days(spark, sf_dir), "day")
 
 
 def time_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,19 +160,19 @@ _FOLD_BARS = """, f AS (
 )"""
 _DOLLAR = "WITH RECURSIVE " + TAPE + _FOLD_BARS.format(t=THRESHOLD, bar=_BAR_SQL)
 
-QUERIES = {f.__name__: f for f in (tick_side, net_volume, time_unit, dedupe_trades, missing_days, missing_months, daily_gaps, missing_days_all, missing_months_all, daily_gaps_all, month_edges_all, append_filter, audit_trades, month_edges, time_split, dollar_bars, imbalance_bars, imbalance_bars_v0, bar_grid, bar_collapse, bar_gap_stats, lineitem_bars)}
-_LARGE = "large AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders WHERE o_totalprice > 400000)"
+QUERIES = {f.__name__: f for f in (tick_side, net_volume, time_unit, dedupe_trades, missing_days, missing_months, daily_gaps, append_filter, audit_trades, month_edges, time_split, dollar_bars, imbalance_bars, imbalance_bars_v0, bar_grid, bar_collapse, bar_gap_stats, lineitem_bars)}
+_DAYS = "days_of AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders)"
 ORACLES = {
     "tick_side": f"WITH {TAPE} SELECT symbol, seq, side, net FROM sided",
     "net_volume": f"WITH {TAPE} SELECT symbol, side, sum(net) AS net, sum(qty) AS qty, count(*) AS ticks FROM sided GROUP BY symbol, side",
     "time_unit": """SELECT event_id, CASE event_id % 3 WHEN 0 THEN ts WHEN 1 THEN date_trunc('millisecond', ts) ELSE date_trunc('second', ts) END AS time, time AS time2 FROM events""",
     "dedupe_trades": "SELECT (l_orderkey * 100 + l_linenumber)::BIGINT AS trade_id, arg_min(l_partkey, (l_partkey, l_suppkey))::BIGINT AS l_partkey, arg_min(l_suppkey, (l_partkey, l_suppkey))::BIGINT AS l_suppkey FROM lineitem GROUP BY 1",
-    "missing_days": f"WITH {_LARGE}, s AS (SELECT unnest(generate_series(min(d), max(d), INTERVAL 1 DAY))::DATE AS date FROM large) SELECT date FROM s WHERE date NOT IN (SELECT d FROM large) AND dayofweek(date) BETWEEN 1 AND 5",
-    "missing_months": f"WITH {_LARGE}, m AS (SELECT DISTINCT date_trunc('month', d)::DATE AS d FROM large), e AS (SELECT datediff('month', min(d), max(d)) + 1 AS expected, count(*) AS n FROM m) SELECT expected::BIGINT AS expected, (expected - n)::BIGINT AS missing, round(100.0 * n / expected, 4)::DOUBLE AS percent FROM e",
-    "daily_gaps": f'WITH {_LARGE}, n AS (SELECT d AS "before", lead(d) OVER (ORDER BY d) AS "after" FROM large) SELECT "before", "after", (datediff(\'day\', "before", "after") - 1)::INT AS days FROM n WHERE datediff(\'day\', "before", "after") > 1',
+    "missing_days": f"WITH {_DAYS}, s AS (SELECT unnest(generate_series(min(d), max(d), INTERVAL 1 DAY))::DATE AS date FROM days_of) SELECT date FROM s WHERE date NOT IN (SELECT d FROM days_of) AND dayofweek(date) BETWEEN 1 AND 5",
+    "missing_months": f"WITH {_DAYS}, m AS (SELECT DISTINCT date_trunc('month', d)::DATE AS d FROM days_of), e AS (SELECT datediff('month', min(d), max(d)) + 1 AS expected, count(*) AS n FROM m) SELECT expected::BIGINT AS expected, (expected - n)::BIGINT AS missing, round(100.0 * n / expected, 4)::DOUBLE AS percent FROM e",
+    "daily_gaps": f'WITH {_DAYS}, n AS (SELECT d AS "before", lead(d) OVER (ORDER BY d) AS "after" FROM days_of) SELECT "before", "after", (datediff(\'day\', "before", "after") - 1)::INT AS days FROM n WHERE datediff(\'day\', "before", "after") > 1',
     "append_filter": "SELECT date_trunc('month', l_shipdate)::DATE AS month, count(*) AS n, round(sum(l_quantity::DOUBLE), 2) AS qty FROM lineitem WHERE l_shipdate::DATE > (SELECT max(l_shipdate::DATE) FROM lineitem WHERE l_shipdate::DATE < DATE '1996-01-01') GROUP BY 1",
     "audit_trades": f"WITH {TAPE} SELECT count(*) AS n, count(*) FILTER (time IS NULL) AS null_times, count(*) FILTER (NOT coalesce(price > 0, false)) AS bad_prices, count(*) FILTER (NOT coalesce(qty > 0, false)) AS bad_qtys, round((floor(epoch(max(time))) - floor(epoch(min(time)))) / 3600, 4) AS hours FROM tape",
-    "month_edges": f"WITH {_LARGE} SELECT date_trunc('month', d)::DATE AS month, min(d) AS first_day, max(d) AS last_day, min(d) > date_trunc('month', d)::DATE AS start_missing, max(d) < last_day(date_trunc('month', d)::DATE) AS end_missing FROM large GROUP BY date_trunc('month', d)::DATE, last_day(date_trunc('month', d)::DATE), date_trunc('month', d)",
+    "month_edges": f"WITH {_DAYS} SELECT date_trunc('month', d)::DATE AS month, min(d) AS first_day, max(d) AS last_day, min(d) > date_trunc('month', d)::DATE AS start_missing, max(d) < last_day(date_trunc('month', d)::DATE) AS end_missing FROM days_of GROUP BY date_trunc('month', d)::DATE, last_day(date_trunc('month', d)::DATE), date_trunc('month', d)",
     "time_split": f"WITH {HOURS}, s AS (SELECT *, count(*) OVER (PARTITION BY symbol) AS n FROM bars) SELECT symbol, CASE WHEN idx < floor(n * 0.6::DOUBLE) THEN 'train' WHEN idx < floor(n * 0.6::DOUBLE) + floor(n * 0.25::DOUBLE) THEN 'validation' ELSE 'test' END AS part, count(*) AS n, min(time) AS first, max(time) AS last FROM s GROUP BY ALL",
     "dollar_bars": f"{_DOLLAR} SELECT {_BAR_OUT} FROM made",
     "imbalance_bars": f"""WITH RECURSIVE {TAPE}, f AS (
@@ -244,5 +224,3 @@ SELECT symbol, count(*) AS bars, count(DISTINCT end_time::DATE) AS days, round(a
 )
 SELECT symbol, bar_id::BIGINT AS bar_id, start_seq, end_seq, usd, (end_seq - start_seq + 1)::BIGINT AS ticks FROM f""",
 }
-_ALL = "large AS (SELECT DISTINCT o_orderdate::DATE AS d FROM orders)"
-ORACLES |= {f"{k}_all": ORACLES[k].replace(_LARGE, _ALL) for k in ("missing_days", "missing_months", "daily_gaps", "month_edges")}

@@ -3,7 +3,8 @@ import pytest
 from barforge.plans.registry import ORACLES, QUERIES
 from tests.conftest import SMALL
 
-SLOW = {"forest_cv"}
+#: Too few bars here to learn from; tests/test_chain.py covers their operators.
+SLOW = {"forest_cv", "forest_search", "forest_grid_f1", "forest_selection", "importance_by_category", "cpcv_pbo"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
