@@ -54,14 +54,25 @@ def plan(histogram: dict[int, int], capacity: Capacity) -> list[tuple[int, int,
     Item ``r`` of a length goes to sequence ``first sequence + r - first rank`` of its run.
     """
     full, weights = capacity.vector(), np.array(capacity.weights)
-    room = np.zeros((0, 3), np.int64)  # residuals of the open states
-    count = np.zeros(0, np.int64)
+    rooms = np.zeros((256, 3), np.int64)  # residuals of the open states, in arrays that double
+    counts = np.zeros(256, np.int64)
     inside: list[tuple[tuple[int, int], ...]] = []  # (length, items) in order of placing
+
+    def opened(residual: np.ndarray, sequences: int, parts: tuple[tuple[int, int], ...]) -> int:
+        nonlocal rooms, counts
+        at = len(inside)
+        if at == len(counts):
+            rooms, counts = np.concatenate([rooms, np.zeros_like(rooms)]), np.concatenate([counts, np.zeros_like(counts)])
+        rooms[at], counts[at] = residual, sequences
+        inside.append(parts)
+        return at
+
     for length in sorted(histogram, reverse=True):
         left, need = int(histogram[length]), demand(length)
         if (need > full).any() or length < 0:
             raise ValueError(f"an item of {length} tokens fits no sequence")
         while left:
+            room, count = rooms[: len(inside)], counts[: len(inside)]
             fits = np.flatnonzero((room >= need).all(axis=1) & (count > 0))
             if len(fits):
                 rest = (room[fits] - need) / full
@@ -70,21 +81,19 @@ def plan(histogram: dict[int, int], capacity: Capacity) -> list[tuple[int, int,
                 each = int(min(np.where(need > 0, room[at] // np.maximum(need, 1), left).min(), -(-left // count[at])))
             else:  # new sequences, each filled with this length as far as it goes
                 each = min(int(np.where(need > 0, full // np.maximum(need, 1), left).min()), left)
-                room, count = np.vstack([room, full]), np.append(count, -(-left // each))
-                inside.append(())
-                at = len(count) - 1
-            moved = min(left // each, int(count[at]))
-            room, count = np.vstack([room, room[at] - each * need]), np.append(count, moved)
-            inside.append((*inside[at], (length, each)))
-            count[at] -= moved
+                at = opened(full, -(-left // each), ())
+            moved = min(left // each, int(counts[at]))
+            opened(rooms[at] - each * need, moved, (*inside[at], (length, each)))
+            counts[at] -= moved
             left -= moved * each
-            if count[at] and not len(inside[at]) and not left:
-                count[at] = 0  # opened for a remainder that is placed by now
-        if len(count) > 4096:
-            kept = np.flatnonzero(count)
-            room, count, inside = room[kept], count[kept], [inside[i] for i in kept]
+            if counts[at] and not len(inside[at]) and not left:
+                counts[at] = 0  # opened for a remainder that is placed by now
+        if len(inside) > 4096:
+            kept = np.flatnonzero(counts[: len(inside)])
+            rooms[: len(kept)], counts[: len(kept)], inside[:] = rooms[kept], counts[kept], [inside[i] for i in kept]
+            counts[len(kept) :] = 0
     runs, rank, sequence = [], Counter(), 0
-    for n, parts in zip(count.tolist(), inside, strict=True):
+    for n, parts in zip(counts[: len(inside)].tolist(), inside, strict=True):
         if n and parts:
             offset = 0
             for length, each in parts:
@@ -102,7 +111,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, tokens: int = 102
     """``doc_id, piece, start, length, ids_crc32`` (and ``ids``) of every whole text.
 
     A document's ids end with ``end_id``. Only documents over ``tokens`` ids are cut, from the end
-    on, so the first piece may be shorter. A null text counts as empty and gives one piece.
+    on, so the first piece may be shorter. A null text counts as empty and gives one piece. Repeated
+    rows give pieces of their own, an empty table none; other columns are not looked at.
     """
     rows = id_text(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()

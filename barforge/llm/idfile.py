@@ -7,6 +7,7 @@ shard      int              file order; shards follow one another in ascending i
 first      long             ids of the shard before this block: the block's offset
 width      int              bits an id takes, the fewest that hold ``vocabulary - 1``
 payload    binary           ids, little-endian bit order, ``width`` bits each, padded to a byte
+low, high  id type          the least and the greatest id of the block's documents
 doc_ids    array<id type>   the block's documents in ascending order
 lengths    array<int>       ids of each document
 =========  ===============  =====================================================================
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,8 +79,8 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int | None = 0, id
         def block() -> pa.RecordBatch:
             ids = np.concatenate(held)
             keys_of = pa.concat_arrays(keys)
-            values = [pa.array([shard], pa.int32()), pa.array([first], pa.int64()), pa.array([width], pa.int32()), pa.array([pack(ids, width)], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(keys_of)], pa.int32()), keys_of), pa.array([lengths], pa.list_(pa.int32()))]
-            return pa.RecordBatch.from_arrays(values, ["shard", "first", "width", "payload", "doc_ids", "lengths"])
+            values = [pa.array([shard], pa.int32()), pa.array([first], pa.int64()), pa.array([width], pa.int32()), pa.array([pack(ids, width)], pa.binary()), *(pa.array([x], keys_of.type) for x in (pc.min(keys_of), pc.max(keys_of))), pa.ListArray.from_arrays(pa.array([0, len(keys_of)], pa.int32()), keys_of), pa.array([lengths], pa.list_(pa.int32()))]
+            return pa.RecordBatch.from_arrays(values, ["shard", "first", "width", "payload", "low", "high", "doc_ids", "lengths"])
 
         size = 0
         for batch in slices(batches, most=TOKENIZER_BYTES, rows=65_536):
@@ -100,11 +102,11 @@ def write(docs: DataFrame, tokenizer: str, path: str, end_id: int | None = 0, id
             yield block()
 
     ordered = rows.repartitionByRange(scratch.partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(run, f"shard int, first long, width int, payload binary, doc_ids array<{kind}>, lengths array<int>").write.parquet(path)
+    ordered.mapInArrow(run, f"shard int, first long, width int, payload binary, low {kind}, high {kind}, doc_ids array<{kind}>, lengths array<int>").write.parquet(path)
 
 
 def documents(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32`` read back from the blocks at ``path``.
+    """``doc_id, start, n_tokens, ids_crc32`` read back from the blocks at ``path``; nothing from an empty table.
 
     ``start`` counts the ids of all documents before; ``ids_crc32`` is the unsigned crc32 of the
     document's ids as little-endian unsigned 32-bit integers.
@@ -132,8 +134,12 @@ def documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def lookup(spark: SparkSession, path: str, doc_id) -> list[np.ndarray]:
-    """Random access: the ids of the documents with this id, unpacked from their blocks alone."""
-    found = spark.read.parquet(path).where(F.array_contains("doc_ids", doc_id))
+    """Random access: the ids of the documents with this id, unpacked from their blocks alone.
+
+    Blocks are found by their least and greatest id, which the store can skip row groups by. Without
+    such a document the list is empty; documents that share an id come one by one.
+    """
+    found = spark.read.parquet(path).where((F.col("low") <= F.lit(doc_id)) & (F.col("high") >= F.lit(doc_id)) & F.array_contains("doc_ids", doc_id))
     out = []
     for row in found.collect():
         ends = np.cumsum(row.lengths)

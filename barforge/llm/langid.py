@@ -63,19 +63,22 @@ def trigram_counts(texts: pa.Array) -> np.ndarray:
 class TextModel:
     languages: tuple[str, ...]
     log_p: np.ndarray  # buckets x languages
+    trigrams: int = TRIGRAMS
 
     def posteriors(self, texts: pa.Array) -> np.ndarray:
         """Under equal priors; uniform for a text without trigrams."""
         counts = trigram_counts(texts)
         n = counts.sum(1, keepdims=True)
-        score = (counts @ self.log_p) / np.maximum(n, 1) * np.minimum(n, TRIGRAMS)
+        score = (counts @ self.log_p) / np.maximum(n, 1) * np.minimum(n, self.trigrams)
         p = np.exp(score - score.max(1, keepdims=True))
         return p / p.sum(1, keepdims=True)
 
 
-def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> TextModel:
+def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", trigrams: int = TRIGRAMS) -> TextModel:
     """Trigram frequencies of each language over all documents with a language and a text.
 
+    ``trigrams`` is the number of independent ones that a text counts as at most.
+
     Without any, the model has the one language "und".
     """
 
@@ -97,7 +100,7 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> Te
     counts = np.full((BUCKETS, len(languages)), 0.5)
     for r in got:
         counts[r.bucket, languages.index(r.lang)] += r.n
-    return TextModel(languages, np.log(counts / counts.sum(0)))
+    return TextModel(languages, np.log(counts / counts.sum(0)), trigrams)
 
 
 def evidence(pages: DataFrame, model: TextModel, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -67,7 +67,10 @@ def band_keys(least: np.ndarray) -> np.ndarray:
 
 
 def signatures(rows: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n_shingles, digest, bands``; a text without words has no digest and no bands."""
+    """``doc_id, n_shingles, digest, bands``; a text without words has no digest and no bands.
+
+    Rows are signed one by one, repeated ones and null ids included; an empty table gives none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         family = _family()
@@ -84,6 +87,8 @@ def signatures(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _sets(rows: DataFrame, size: int) -> DataFrame:
+    """``id, values``: each row's set of shingle hashes, empty for a text without words."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             found = [x.view(np.int64) for x in shingles.sets(batch.column("text"), size)]

@@ -139,14 +139,20 @@ def trigram_query(rule: Rule) -> list[list[str]]:
 
 
 def index(docs: DataFrame, trigrams: Sequence[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Postings ``(trigram, doc_id)`` of the given trigrams (numbers into the list) over whole texts."""
+    """Postings ``(trigram, doc_id)`` of the given trigrams (numbers into the list) over whole texts.
+
+    A null or empty text has no postings; rows that share an id have each their own; other columns are not looked at.
+    """
     low = docs.select(F.col(id_col).alias("doc_id"), F.lower(F.col(text_col)).alias("__low"))
     held = F.array_compact(F.array(*[F.when(F.contains("__low", F.lit(t)), F.lit(i)) for i, t in enumerate(trigrams)]))
     return low.select("doc_id", F.explode(held).alias("trigram"))
 
 
 def candidates(docs: DataFrame, rules: Sequence[Rule], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``__mask``: bit ``k`` is set if the postings allow a match of ``rules[k]``."""
+    """``doc_id`` and ``__mask``: bit ``k`` is set if the postings allow a match of ``rules[k]``.
+
+    Ids without postings are left out, null ids are one group, rows of one id share a mask.
+    """
     spark = docs.sparkSession
     asked = [(k, b) for k, r in enumerate(rules) for b in trigram_query(r)]
     trigrams = sorted({t for _, b in asked for t in b})
@@ -204,7 +210,10 @@ def listed(spans: Column, rules: Sequence[Rule]) -> Column:
 
 
 def redact(docs: DataFrame, rules: Sequence[Rule] = RULES, mark: str = "[secret]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows and columns of ``docs``, every span of its text replaced by ``mark`` (overlapping ones by one)."""
+    """The rows and columns of ``docs``, every span of its text replaced by ``mark`` (overlapping ones by one).
+
+    A null text stays null, repeated rows are redacted one by one, an empty table stays empty.
+    """
     found = scan(docs, rules, id_col, text_col)
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     text = F.col(text_col)

@@ -177,6 +177,68 @@ def test_languages(spark):
     assert {(r.lang, r.score) for r in langid.identify(pages, nothing).collect()} == {("und", 1.0)}
 
 
+def _plain_languages(pages, model):
+    """The fused posteriors of ``(page_id, url, html)``, page by page."""
+    import math
+    import re
+    from collections import defaultdict
+
+    rows, n = [], len(model.languages)
+    first = lambda pattern, text: (m[1] if (m := re.search(pattern, text)) else "")
+    for i, url, html in pages:
+        url, html = url or "", html or ""
+        text = re.sub(r"(?is)<(script|style|noscript)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", " ", html)
+        host = first(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)", url).lower()
+        part = first(r"^[^:]+://[^/?#]*/([A-Za-z]{2})(?:[/?#]|$)", url).lower()
+        keys = {"host": host, "domain": first(r"([^.]+\.[^.]+)$", host), "declared": first(r"(?is)<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z]{2,3})", html).lower(), "suffix": "/" + part if part else first(r"\.([a-z]+)$", host)}
+        rows.append((i, keys, model.posteriors(pa.array([re.sub(r"&#?\w{1,8};", " ", text)]))[0]))
+    total = sum((p for _, _, p in rows), np.zeros(n))
+    globe = (total + 1) / (total.sum() + n)
+    sums = defaultdict(lambda: np.zeros(n))
+    for _, keys, p in rows:
+        for k, v in keys.items():
+            sums[k, v] += p
+    out = {}
+    for i, keys, p in rows:
+        without = {k: np.maximum(sums[k, v] - p, 0) for k, v in keys.items()}
+        size = {k: max(sums[k, v].sum() - 1, 0) for k, v in keys.items()}
+        domain = (without["domain"] + langid.PSEUDO * globe) / (size["domain"] + langid.PSEUDO)
+        told = np.log(p + 1e-9) + np.log((without["host"] + langid.PSEUDO * domain) / (size["host"] + langid.PSEUDO) if keys["host"] else globe)
+        for k in ("declared", "suffix"):
+            if keys[k]:
+                told += np.log((without[k] + langid.PSEUDO * globe) / (size[k] + langid.PSEUDO) / globe)
+        out[i] = (model.languages[int(told.argmax())], 1 / sum(math.exp(x - told.max()) for x in told))
+    return out
+
+
+def test_page_languages_by_brute_force(spark):
+    model = langid.train(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet")
+    want = _plain_languages([(r.page_id, r.url, r.html) for r in pages.collect()], model)
+    got = {r.page_id: r for r in langid.identify(pages, model).collect()}
+    assert set(got) == set(want)
+    for i, (lang, score) in want.items():
+        assert got[i].lang == lang and abs(got[i].score - score) < 1e-9
+
+
+def test_the_space_is_that_of_the_leading_singular_vectors():
+    """The fitted axes against a full decomposition, of counts whose rank leaves no doubt about them."""
+    rng = np.random.default_rng(3)
+    parts = rng.random((160, 20)) @ rng.random((20, knn.BUCKETS + knn.SHAPES))
+    counts = parts.astype(np.float32)
+    labels = rng.integers(0, 2, 160)
+    model = knn.fit_matrix(counts.copy(), labels)
+    x = knn._weighted(counts.copy(), model.idf)
+    seen = (counts[:, : knn.BUCKETS] > 0).sum(0)
+    assert np.allclose(model.idf[: knn.BUCKETS], np.log(161 / (1 + seen)) + 1) and (model.labels == labels).all()
+    _, values, right = np.linalg.svd(x.astype(np.float64), full_matrices=False)
+    lead = right[: int((values > values[0] * 1e-4).sum())]
+    assert np.abs(lead - (lead @ model.axes) @ model.axes.T).max() < 1e-2  # the axes hold every leading vector
+    own = x @ right[: knn.LATENT].T
+    own /= np.linalg.norm(own, axis=1, keepdims=True)
+    assert np.abs(model.vectors @ model.vectors.T - own @ own.T).max() < 1e-3
+
+
 def test_page_languages_agree_with_markup(spark):
     rows = QUERIES["op5_page_language"](spark, SMALL).collect()
     assert np.mean([r.lang == r.declared for r in rows]) > 0.95

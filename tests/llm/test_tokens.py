@@ -126,6 +126,30 @@ def test_plan_is_tight_and_whole(rule):
     assert max(s + n for _, _, n, s, _ in runs) <= -(-lengths.sum() // 1024) * 1.002 + 1
 
 
+def _one_by_one(lengths, capacity):
+    """Best fit of items, the longest first, each into the open sequence with the least weighted rest."""
+    full, weights, rooms = capacity.vector(), np.array(capacity.weights), []
+    for length in sorted(lengths, reverse=True):
+        need = binpack.demand(length)
+        fits = [(float((weights * ((r - need) / full) ** 2).sum()), k) for k, r in enumerate(rooms) if (r >= need).all()]
+        if fits:
+            rooms[min(fits)[1]] = rooms[min(fits)[1]] - need
+        else:
+            rooms.append(full - need)
+    return len(rooms)
+
+
+@pytest.mark.parametrize("capacity", [binpack.Capacity(tokens=100), binpack.Capacity(tokens=100, documents=4, cost=5000)])
+def test_plan_against_one_by_one(capacity):
+    for seed in range(12):
+        rng = np.random.default_rng(seed)
+        lengths = rng.integers(1, 71, rng.integers(1, 300)).tolist()
+        values, counts = np.unique(lengths, return_counts=True)
+        runs = binpack.plan(dict(zip(values.tolist(), counts.tolist(), strict=True)), capacity)
+        plain = _one_by_one(lengths, capacity)
+        assert max(s + n for _, _, n, s, _ in runs) <= plain * 1.02 + 1
+
+
 def test_every_capacity_holds():
     full = binpack.Capacity(tokens=100, documents=3, cost=4000)
     runs = binpack.plan({60: 5, 30: 20, 5: 40, 0: 3}, full)
