@@ -7,11 +7,15 @@
    member may be linked with; of those over all its buckets, a member is compared with the two it
    shares most bands with. That is at most two pairs for each node, whatever a bucket's size.
 3. Links are confirmed on full sets and joined to components.
-4. Buckets whose members are in one component by now are settled. In the others all members of
-   different components are compared on full sets, in blocks: the members of the largest component
-   and the rest are dealt to blocks of bounded size, each block of the rest meets every block.
-   Only links that join two components leave a task, never more than it has members. A bucket of
-   more than two blocks is first divided by rare shingles: of a set of ``n`` that needs ``t`` shared
+4. Buckets whose members are in one component by now are settled. The others that have members in
+   common, directly or by way of further ones, are a *family*: a node is in some seven open buckets
+   but in one family. All members of a family in different components are compared on full sets, in
+   blocks: the members of the largest component and the rest are dealt to blocks of bounded size,
+   each block of the rest meets every block. Only links that join two components leave a task, never
+   more than it has members. That sends a set to each block it meets; a family for which this is more
+   than to send a set for each bucket it is in is taken apart again, and its buckets are compared in
+   the same manner, each by itself. So work stays in proportion to memberships. Such a bucket of more
+   than two blocks is first divided by rare shingles: of a set of ``n`` that needs ``t`` shared
    shingles, a partner of another component shares one of the ``m - t + 1`` rarest among the ``m``
    that occur in several components. Only members under the same rare shingle are compared, so a
    passage that many texts share without being alike brings none of them together.
@@ -39,6 +43,8 @@ BANDS, ROWS = 48, 6
 BROADCAST_ROWS = 400_000
 #: A block of step 4 has about so many members, or shingles where those are many.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 256, 500_000
+#: A family is compared whole if that sends at most as many sets as it has memberships in open buckets, times this.
+FAMILY_SENDS = 1
 
 
 def _family() -> tuple[np.ndarray, np.ndarray]:
@@ -131,16 +137,17 @@ def _cross_links(threshold: int):
 
 
 def _plan(at: DataFrame) -> DataFrame:
-    """``band, major, nb_major, nb_minor``: largest component and numbers of blocks of each bucket of several components.
+    """``band, lo, major, nb_major, nb_minor, sent``: least member, largest component and numbers of blocks of each bucket of several components.
 
-    Of buckets with the same members, one is returned.
+    ``sent`` is how many sets go to all its blocks together. Of buckets with the same members, one is returned.
     """
     mixed = at.groupBy("band").agg(F.min("component").alias("c"), F.max("component").alias("d"), F.count("*").alias("k"), F.sum(F.xxhash64("rep").cast("decimal(20)")).alias("s"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x")).where("c < d")
     open_ = mixed.groupBy("k", "s", "x").agg(F.min("band").alias("band"))
-    counted = at.join(open_.select("band"), "band", "left_semi").groupBy("band", "component").agg(F.count("*").alias("k"), F.sum("n").alias("n"))
+    counted = at.join(open_.select("band"), "band", "left_semi").groupBy("band", "component").agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.min("rep").alias("lo"))
     blocks = lambda k, n: F.greatest(F.lit(1), F.ceil(k / BLOCK_MEMBERS), F.ceil(n / BLOCK_SHINGLES)).cast("int")
-    plan = counted.groupBy("band").agg(F.max_by("component", "k").alias("major"), F.max("k").alias("mk"), F.max_by("n", "k").alias("mn"), F.sum("k").alias("k"), F.sum("n").alias("n"))
-    return plan.select("band", "major", blocks(F.col("mk"), F.col("mn")).alias("nb_major"), blocks(F.col("k") - F.col("mk"), F.col("n") - F.col("mn")).alias("nb_minor"))
+    plan = counted.groupBy("band").agg(F.max_by("component", "k").alias("major"), F.max("k").alias("mk"), F.max_by("n", "k").alias("mn"), F.sum("k").alias("k"), F.sum("n").alias("n"), F.min("lo").alias("lo"))
+    plan = plan.withColumn("nb_major", blocks(F.col("mk"), F.col("mn"))).withColumn("nb_minor", blocks(F.col("k") - F.col("mk"), F.col("n") - F.col("mn")))
+    return plan.select("band", "lo", "major", "nb_major", "nb_minor", F.expr("k * nb_minor + (k - mk) * (nb_major - 1)").alias("sent"))
 
 
 def _rare(members: DataFrame, values: DataFrame, threshold: int) -> DataFrame:
@@ -156,9 +163,9 @@ def _compared(at: DataFrame, plan: DataFrame, values: DataFrame, threshold: int)
     """Links ``a, b`` between members of different components, block by block of each planned bucket."""
     dealt = at.join(_small(plan, plan.count()), "band").withColumn("minor", F.col("component") != F.col("major"))
     i = F.pmod(F.xxhash64("rep"), F.when(F.col("minor"), F.col("nb_minor")).otherwise(F.col("nb_major"))).cast("int")
-    # a group is a block x of the rest with block y: of the rest from 0 on, of the largest from -1 down
+    # a group is a block x of the rest with block y: of the rest from x + 1 on, of the largest from -1 down, where x meets itself too
     of_minor = F.concat(
-        F.transform(F.sequence(F.lit(0), F.col("nb_minor") - 1), lambda j: F.struct(F.least(i, j).alias("x"), F.greatest(i, j).alias("y"))),
+        F.transform(F.filter(F.sequence(F.lit(0), F.col("nb_minor") - 1), lambda j: j != i), lambda j: F.struct(F.least(i, j).alias("x"), F.greatest(i, j).alias("y"))),
         F.transform(F.sequence(F.lit(1), F.col("nb_major")), lambda j: F.struct(i.alias("x"), (-j).alias("y"))),
     )
     of_major = F.transform(F.sequence(F.lit(0), F.col("nb_minor") - 1), lambda j: F.struct(j.alias("x"), (-i - 1).alias("y")))
@@ -235,11 +242,24 @@ def _components(rows: DataFrame, nodes: DataFrame, size: int, threshold: int, ta
     plan = table(_plan(at), "minhash-open")
     if plan.isEmpty():
         return found
-    large = F.col("nb_major") + F.col("nb_minor") > 2
-    more = _compared(at, plan.where(~large), values, threshold)
-    if not plan.where(large).isEmpty():
-        rare = table(_rare(at.join(plan.where(large).select("band"), "band", "left_semi").select("rep", "component").distinct(), values, threshold), "minhash-rare")
-        more = more.unionByName(_compared(rare, table(_plan(rare), "minhash-open"), values, threshold))
+    first = plan.select("band", "lo")
+    linked = connected(at.join(_small(first, plan.count()), "band").select(F.col("rep").alias("a"), F.col("lo").alias("b")))
+    named = first.join(linked.withColumnRenamed("id", "lo"), "lo").select("band", F.col("component").alias("family"))
+    of_family = table(at.join(_small(named, plan.count()), "band"), "minhash-of-family")
+    whole = of_family.select(F.col("family").alias("band"), "rep", "n", "component").distinct()
+    memberships = of_family.groupBy(F.col("family").alias("band")).agg(F.count("*").alias("memberships"))
+    families = table(_plan(whole).join(memberships, "band"), "minhash-families")
+    fits = F.col("sent") <= FAMILY_SENDS * F.col("memberships")
+    more = _compared(whole, families.where(fits), values, threshold)
+    apart = families.where(~fits).select(F.col("band").alias("family"))
+    if not apart.isEmpty():
+        at = table(of_family.join(apart, "family", "left_semi").select("band", "rep", "n", "component"), "minhash-apart")
+        plan = table(plan.join(at.select("band").distinct(), "band", "left_semi"), "minhash-apart-open")
+        large = F.col("nb_major") + F.col("nb_minor") > 2
+        more = more.unionByName(_compared(at, plan.where(~large), values, threshold))
+        if not plan.where(large).isEmpty():
+            rare = table(_rare(at.join(plan.where(large).select("band"), "band", "left_semi").select("rep", "component").distinct(), values, threshold), "minhash-rare")
+            more = more.unionByName(_compared(rare, table(_plan(rare), "minhash-open"), values, threshold))
     return connected(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
 

@@ -53,9 +53,11 @@ def test_equals_brute_force(spark, words, size):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
-def test_large_buckets_equal_brute_force(spark, words, monkeypatch):
-    """Buckets of more than two blocks are divided by rare shingles, and no link is lost."""
+@pytest.mark.parametrize("sends", [0, 1, 1000])
+def test_large_buckets_equal_brute_force(spark, words, monkeypatch, sends):
+    """Families of many blocks, and buckets of more than two that are divided by rare shingles: no link is lost."""
     monkeypatch.setattr(minhash, "BLOCK_MEMBERS", 6)
+    monkeypatch.setattr(minhash, "FAMILY_SENDS", sends)
     rng, rows = random.Random(3), []
     base = words(150, 11).split()
     for _ in range(120):
