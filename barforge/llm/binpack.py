@@ -107,19 +107,20 @@ def plan(histogram: dict[int, int], capacity: Capacity) -> list[tuple[int, int,
     return runs
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, tokens: int = 1024, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, tokens: int = 1024, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False, at_once: int = TOKENIZER_BYTES, chunks: int = bytebpe.CHUNKS) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` (and ``ids``) of every whole text.
 
     A document's ids end with ``end_id``. Only documents over ``tokens`` ids are cut, from the end
     on, so the first piece may be shorter. A null text counts as empty and gives one piece. Repeated
-    rows give pieces of their own, an empty table none; other columns are not looked at.
+    rows give pieces of their own, an empty table none; other columns are not looked at. Bytes of text
+    ``at_once`` and the ``chunks`` of a worker's table set its memory and time, not the rows.
     """
     rows = id_text(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = bytebpe.encoder(tokenizer)
-        for batch in slices(batches, most=TOKENIZER_BYTES, rows=65_536):
+        own = bytebpe.encoder(tokenizer, chunks)
+        for batch in slices(batches, most=at_once, rows=65_536):
             flat, ends = own.encode_array(batch.column("text"))
             flat = np.insert(flat, ends[1:], end_id).astype("<u4", copy=False)
             first = ends + np.arange(len(ends))  # of each document's ids, its end included
@@ -146,6 +147,8 @@ def pack(items: DataFrame, capacity: Capacity = Capacity(), length_col: str = "l
 
     Sequences are numbered from 0 and filled without gaps from offset 0. Null lengths count as 0.
     Repeated rows are items of their own. Raises for an item that is over the capacity by itself.
+    Items are written before they are numbered: Python that makes them and Python that numbers them
+    would else be two workers of one task.
     """
     spark = items.sparkSession
     length, shard, slot, base = "__length", "__shard", "__slot", "__base"
@@ -162,7 +165,8 @@ def pack(items: DataFrame, capacity: Capacity = Capacity(), length_col: str = "l
             more = [pa.array(lengths, pa.int64()), pa.array([own] * len(lengths), pa.int32()), pa.array(ranks, pa.int64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, length, shard, slot])
 
-    numbered = scratch.table(items.mapInArrow(number, schema), "pack-items")
+    with scratch.passing(spark) as table:
+        numbered = scratch.table(table(items, "pack-made").mapInArrow(number, schema), "pack-items")
     counts = numbered.groupBy(shard, length).agg((F.max(slot) + 1).alias("__n"))
     histogram = {r[0]: r[1] for r in counts.groupBy(length).agg(F.sum("__n")).collect()}  # one row per length, so at most the capacity
     runs = plan(histogram, capacity)

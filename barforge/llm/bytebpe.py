@@ -21,13 +21,13 @@ import regex
 from barforge.llm.chunks import Known, gathered
 from barforge.llm.shingles import buffers
 
-#: Chunks and pre-tokens that a worker's tables hold at most.
-CHUNKS, PARTS = 400_000, 150_000
+#: Chunks that a worker's table holds at most; its pre-tokens are 3/8 of that, twice.
+CHUNKS = 400_000
 _COMMON = "!-~¡-ɏ–—‘’“”…"  # classes of these characters are the same in every Unicode version
 _SIMPLE = re.compile(rf" ?[{_COMMON}]+(?:\n[{_COMMON}]+)*")
 #: The public pre-token pattern of byte-level BPE.
 _PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-_encoders: dict[str, "ByteChunks"] = {}
+_encoders: dict[tuple[str, int], "ByteChunks"] = {}
 
 
 def _bytes(*ranges: tuple[int, int]) -> np.ndarray:
@@ -69,7 +69,7 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class ByteChunks:
-    def __init__(self, path: str):
+    def __init__(self, path: str, chunks: int = CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         from tokenizers import Tokenizer
 
@@ -80,7 +80,8 @@ class ByteChunks:
         self.model = self.library.model
         self.letters = _letters()
         self.parts: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}  # of this generation, of the last
-        self.known = Known(self._learn, CHUNKS, np.uint32)
+        self.most_parts = chunks * 3 // 8
+        self.known = Known(self._learn, chunks, np.uint32)
         # an added token inside a chunk is found there as it is in the whole text
         self.cuts = not any(t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content) for t in added) and self._cuts()
 
@@ -102,7 +103,7 @@ class ByteChunks:
         return self._whole("".join(probe)) == list(itertools.chain.from_iterable(cut))
 
     def _part_ids(self, parts: list[str]) -> list[bytes]:
-        if len(self.parts[0]) > PARTS:
+        if len(self.parts[0]) > self.most_parts:
             self.parts = {}, self.parts[0]
         now, last = self.parts
         out = []
@@ -149,7 +150,8 @@ def _letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-def encoder(path: str) -> ByteChunks:
-    if path not in _encoders:
-        _encoders[path] = ByteChunks(path)
-    return _encoders[path]
+def encoder(path: str, chunks: int = CHUNKS) -> ByteChunks:
+    """This worker's encoder, whose table holds ``chunks`` at most: that sets memory and time, never ids."""
+    if (path, chunks) not in _encoders:
+        _encoders[path, chunks] = ByteChunks(path, chunks)
+    return _encoders[path, chunks]

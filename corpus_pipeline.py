@@ -16,6 +16,8 @@ from barforge.llm.queries import BYTE_MODEL, learnt_labels, tokenizer_path
 
 #: A document stays if the neighbours' vote for it is as high.
 LEAST_SCORE = 0.7
+#: Of the tokenizer, by which its workers stay small: executors are full by the last stage.
+AT_ONCE, CHUNKS = 1 << 20, 150_000
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +38,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return binpack.pack(binpack.token_pieces(docs, tokenizer_path(BYTE_MODEL), end_id=2, tokens=1024))
+    return binpack.pack(binpack.token_pieces(docs, tokenizer_path(BYTE_MODEL), end_id=2, tokens=1024, at_once=AT_ONCE, chunks=CHUNKS))
 
 
 STAGES = [

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pytest
 
-from barforge.llm import binpack, bytebpe, idfile, pieces, rank_merge
+from barforge.llm import binpack, bytebpe, idfile, pieces, rank_merge, scratch
 from barforge.llm.queries import BYTE_MODEL, PIECE_MODEL, tokenizer_path
 from tests.conftest import SMALL
 
@@ -178,3 +178,25 @@ def test_packing(spark, edge, words):
         assert part["offset"].tolist() == [0, *part["length"].cumsum().tolist()[:-1]] and part["length"].sum() <= 1024
     assert rows["sequence_id"].nunique() <= -(-rows["length"].sum() // 1024) + 2
     assert binpack.pack(items.limit(0)).count() == 0
+
+
+def test_packing_has_one_python_worker_a_task(spark, words, monkeypatch):
+    """A worker that makes items and one that numbers them would hold two tokenizers' tables in a task."""
+    docs = spark.createDataFrame([(i, words(30 + i, i)) for i in range(40)], "doc_id long, text string")
+    plans, write = [], scratch.write
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(scratch, "write", seen)
+    packed = binpack.pack(binpack.token_pieces(docs, tokenizer_path(BYTE_MODEL), 2, 1024))
+    plans.append(packed._jdf.queryExecution().executedPlan().toString())
+    assert max(p.count("MapInArrow") for p in plans) == 1
+    assert packed.count() == 40
+
+
+def test_small_tables_give_the_same_pieces(spark, edge, words):
+    docs = edge.select("doc_id", "text").unionByName(spark.createDataFrame([(100 + i, words(900, i)) for i in range(12)], "doc_id long, text string"))
+    rows = lambda **more: sorted(map(str, binpack.token_pieces(docs, tokenizer_path(BYTE_MODEL), 2, 256, **more).collect()))
+    assert rows(at_once=1, chunks=16) == rows()
